@@ -13,11 +13,20 @@ def _others(table: DataFrame, *dropped: str) -> list[str]:
     return [name for name in table.columns if name not in dropped]
 
 
+def _with_fields(raw: DataFrame) -> DataFrame:
+    """Adds the array ``fields``, split exactly once per line.
+
+    Written as a generator of one element: Catalyst copies a projected
+    expression into every filter above it, and the rules use ``fields`` five
+    times, but it does not look inside a generator.
+    """
+    return raw.select("*", F.explode(F.array(lines.line_fields(F.col("value")))).alias("fields"))
+
+
 def parse_line(raw: DataFrame) -> DataFrame:
     """The four named fields as text, and how many fields the line has."""
-    split = raw.withColumn("fields", lines.line_fields(F.col("value")))
     parts = F.col("fields")
-    return split.select(
+    return _with_fields(raw).select(
         *_others(raw, "value"),
         lines.field(parts, 1).alias("domain_code"),
         lines.field(parts, 2).alias("page_title"),
@@ -50,8 +59,7 @@ def reject_noninteger(raw: DataFrame) -> DataFrame:
 
 def with_outcome(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
     """Adds ``fields`` and ``reject_reason`` (null for a good line)."""
-    split = raw.withColumn("fields", lines.line_fields(F.col("value")))
-    return split.withColumn(
+    return _with_fields(raw).withColumn(
         "reject_reason", lines.reject_reason(F.col("value"), F.col("fields"), domain))
 
 
@@ -105,15 +113,6 @@ def reject_rows(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
             .drop("fields"))
 
 
-def _master_columns(raw: DataFrame) -> DataFrame:
-    parts = F.col("fields")
-    split = raw.withColumn("fields", lines.line_fields(F.col("value")))
-    return split.select(
-        *raw.columns, "fields",
-        lines.as_int(lines.field(parts, 3)).alias("count_views"),
-        lines.as_int(lines.field(parts, 4)).alias("total_response_size"))
-
-
 def master_records(raw: DataFrame) -> DataFrame:
     """Typed records of all domains: four fields, whole numbers in the last two."""
     name = F.col("file_name")
@@ -123,13 +122,15 @@ def master_records(raw: DataFrame) -> DataFrame:
         F.substring(name, 15, 2).cast("int").alias("month"),
         F.substring(name, 17, 2).cast("int").alias("day"),
         F.substring(name, 20, 2).cast("int").alias("hour"))
-    return (_master_columns(raw)
+    views, size = lines.field(parts, 3), lines.field(parts, 4)
+    return (_with_fields(raw)
             .filter(~lines.has_wrong_arity(parts))
-            .filter("count_views IS NOT NULL AND total_response_size IS NOT NULL")
+            .filter(lines.as_int(views).isNotNull() & lines.as_int(size).isNotNull())
             .select(*_others(raw, "value"), stamp.alias("hourly_timestamp"),
                     lines.field(parts, 1).alias("domain_code"),
                     lines.field(parts, 2).alias("page_title"),
-                    "count_views", "total_response_size"))
+                    views.cast("int").alias("count_views"),
+                    size.cast("int").alias("total_response_size")))
 
 
 def stamp_lines(raw: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def load_profile(raw: DataFrame) -> DataFrame:
     """
     parts = F.col("fields")
     per_domain = (
-        raw.withColumn("fields", lines.line_fields(F.col("value")))
+        _with_fields(raw)
         .select("file_name", lines.has_wrong_arity(parts).alias("bad"),
                 F.when(~lines.has_wrong_arity(parts), lines.field(parts, 1)).alias("domain_code"))
         .groupBy("file_name", "domain_code")
@@ -169,23 +170,34 @@ def load_profile(raw: DataFrame) -> DataFrame:
 AUDITED = ("domain_code", "page_title", "count_views", "total_response_size")
 
 
-def roundtrip_audit(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
-    """Records that differ between the source and what was read back.
-
-    ``key`` identifies a record on both sides. One ``<field>_changed`` flag per
-    audited field, and ``presence``: ``both``, ``lost`` or ``added``.
-    """
+def _paired(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
+    """Both sides joined on the key, with what differs."""
     left, right = written.alias("w"), reread.alias("r")
     joined = left.join(right, [F.col(f"w.{name}").eqNullSafe(F.col(f"r.{name}")) for name in key],
                        "full_outer")
     in_left = F.col("w.hourly_timestamp").isNotNull()
     in_right = F.col("r.hourly_timestamp").isNotNull()
-    flags = {name: ~F.col(f"w.{name}").eqNullSafe(F.col(f"r.{name}")) for name in AUDITED}
-    changed = F.lit(False)
-    for flag in flags.values():
-        changed |= flag
-    return joined.filter(changed).select(
+    flags = [(~F.col(f"w.{name}").eqNullSafe(F.col(f"r.{name}"))).alias(f"{name}_changed")
+             for name in AUDITED]
+    return joined.select(
         *[F.coalesce(f"w.{name}", f"r.{name}").alias(name) for name in key],
         F.when(in_left & in_right, "both").when(in_left, "lost").otherwise("added")
-        .alias("presence"),
-        *[flag.alias(f"{name}_changed") for name, flag in flags.items()])
+        .alias("presence"), *flags)
+
+
+_CHANGED = " OR ".join(f"{name}_changed" for name in AUDITED)
+
+
+def roundtrip_audit(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
+    """Records that differ between the source and what was read back.
+
+    ``key`` identifies a record on both sides. One ``<field>_changed`` flag per
+    audited field, and ``presence``: ``both``, ``lost`` or ``added``.
+    """
+    return _paired(written, reread, key).filter(_CHANGED)
+
+
+def roundtrip_summary(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
+    """Number of records compared and damaged."""
+    return _paired(written, reread, key).agg(
+        F.count("*").alias("compared"), F.count_if(F.expr(_CHANGED)).alias("damaged"))
