@@ -54,10 +54,13 @@ def write_hourly_text(raw: DataFrame) -> str:
     """Raw lines as gzip text, one folder per hourly file, lines in ``seq`` order.
 
     A range partitioning on file and line keeps the order and splits a file
-    that holds far more lines than the others.
+    that holds far more lines than the others. The number of ranges is given so
+    that small input is not merged into one writing task.
     """
-    path = scratch_path(raw.sparkSession, "hourly")
-    (raw.repartitionByRange("file_name", "seq").sortWithinPartitions("file_name", "seq")
+    spark = raw.sparkSession
+    path = scratch_path(spark, "hourly")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (raw.repartitionByRange(ranges, "file_name", "seq").sortWithinPartitions("file_name", "seq")
      .select("file_name", "value").write.partitionBy("file_name")
      .option("compression", "gzip").text(path))
     return path

@@ -129,8 +129,7 @@ def write_stamped_lines(spark, sf_dir):
 def top_pages_for(spark, sf_dir):
     path = scratch_path(spark, "top_pages")
     daily = daily_above(daily_lineitem(spark, sf_dir))
-    for grain, ranked in tops(daily, TOP).items():
-        sinks.write_top_pages(ranking.tag_grain(ranked, grain), path)
+    sinks.write_top_pages(ranking.tagged_lists(tops(daily, TOP)), path)
     lists = spark.read.parquet(path).drop("interval_start")
     first, *rest = [ranking.top_pages_for(lists, *lookup) for lookup in LOOKUPS]
     for found in rest:

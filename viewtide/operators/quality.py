@@ -173,7 +173,7 @@ AUDITED = ("domain_code", "page_title", "count_views", "total_response_size")
 def _paired(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
     """Both sides joined on the key, with what differs."""
     left, right = written.alias("w"), reread.alias("r")
-    joined = left.join(right, [F.col(f"w.{name}").eqNullSafe(F.col(f"r.{name}")) for name in key],
+    joined = left.join(right, [F.col(f"w.{name}") == F.col(f"r.{name}") for name in key],
                        "full_outer")
     in_left = F.col("w.hourly_timestamp").isNotNull()
     in_right = F.col("r.hourly_timestamp").isNotNull()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,9 +74,14 @@ def collapse_ties(ranked: DataFrame) -> DataFrame:
             .filter("_first").drop("_first"))
 
 
-def tag_grain(ranked: DataFrame, grain: str) -> DataFrame:
-    """Adds the ``grain`` column of the lookup table."""
-    return ranked.withColumn("grain", F.lit(grain))
+def tagged_lists(tops: dict[str, DataFrame]) -> DataFrame:
+    """Top lists of several grains as one table with a ``grain`` column.
+
+    One query for all grains lets Spark reuse the daily and monthly shuffles
+    that the lists share.
+    """
+    tagged = [ranked.withColumn("grain", F.lit(grain)) for grain, ranked in tops.items()]
+    return reduce(DataFrame.unionByName, tagged)
 
 
 def top_pages_for(table: DataFrame, grain: str, interval: str) -> DataFrame:

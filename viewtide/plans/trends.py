@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewtide.operators import documents, quality, ranking, rollup, series
 from viewtide.operators.layout import persist_level
@@ -43,9 +44,9 @@ def top_lists(daily: DataFrame, options: TrendOptions = TrendOptions()) -> dict[
             for grain, facts in grain_facts(daily, options.grains).items()}
 
 
-def popular_series(daily: DataFrame, tops: dict[str, DataFrame]) -> DataFrame:
-    """Day-by-day series of every page in any top list."""
-    popular = series.popular_page_ids(*tops.values())
+def popular_series(daily: DataFrame, *tops: DataFrame) -> DataFrame:
+    """Day-by-day series of every page in any of the top lists."""
+    popular = series.popular_page_ids(*tops)
     return series.page_series(series.popular_daily_views(daily, popular))
 
 
@@ -54,8 +55,9 @@ def build_trends(spark: SparkSession, source: str | Sequence[str], output: str,
                  options: TrendOptions = TrendOptions()) -> None:
     """Reads hourly files and writes, below ``output``:
 
-    ``daily`` facts, ``documents`` text by grain and year, ``top_pages`` lookup
-    table by grain, ``series`` documents of popular pages.
+    ``daily``: facts by year and month; months in ``source`` are replaced.
+    ``top_pages``: lookup table by grain, rebuilt from all daily facts.
+    ``documents``: text by grain and year. ``series``: documents of popular pages.
 
     The daily facts are written once and read back. Every later step starts
     from that table, so a lost executor never leads back to the raw text.
@@ -65,15 +67,14 @@ def build_trends(spark: SparkSession, source: str | Sequence[str], output: str,
     table = spark.read.parquet(f"{output}/daily").drop("year", "month")
     daily = persist_level(table, storage_level)
     try:
-        tops = {}
-        for grain, ranked in top_lists(daily, options).items():
-            write_top_pages(ranking.tag_grain(ranked, grain), f"{output}/top_pages")
-            stored = spark.read.parquet(f"{output}/top_pages").filter(f"grain = '{grain}'")
-            nested = documents.nest_top_pages(stored, options.url_prefix)
-            write_doc_lines(doc_lines(documents.interval_docs(nested), grain),
-                            f"{output}/documents")
-            tops[grain] = stored
-        docs = series.page_series_docs(popular_series(daily, tops))
+        write_top_pages(ranking.tagged_lists(top_lists(daily, options)), f"{output}/top_pages")
+        stored = spark.read.parquet(f"{output}/top_pages").filter(
+            F.col("grain").isin(list(options.grains)))
+        for grain in options.grains:
+            ranked = stored.filter(F.col("grain") == grain)
+            docs = documents.interval_docs(documents.nest_top_pages(ranked, options.url_prefix))
+            write_doc_lines(doc_lines(docs, grain), f"{output}/documents")
+        docs = series.page_series_docs(popular_series(daily, stored))
         docs.write.mode("overwrite").parquet(f"{output}/series")
     finally:
         daily.unpersist()

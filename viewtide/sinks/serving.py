@@ -88,10 +88,10 @@ def load_report(lines: DataFrame, existing: DataFrame | None = None,
         F.count_if(~F.col("blank") & ~F.col("valid")).alias("invalid"),
         F.count_if(loaded).alias("loaded"))
     first = (judged.filter(loaded).groupBy("doc_id")
-             .agg(F.min(F.struct(*_LOAD_ORDER, *by)).alias("first")))
+             .agg(F.min(F.struct(*_LOAD_ORDER, F.struct(*by).alias("file"))).alias("first")))
     if existing is not None:
         first = first.join(existing.select("doc_id"), "doc_id", "left_anti")
-    created = (first.groupBy(*[F.col(f"first.{name}").alias(name) for name in by])
+    created = (first.groupBy(*[F.col(f"first.file.{name}").alias(name) for name in by])
                .agg(F.count("*").alias("created")))
     made = F.coalesce("created", F.lit(0))
     return counts.join(created, list(by), "left").select(
