@@ -76,7 +76,7 @@ def clean_lines(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
         *_others(raw, "value"),
         fields.file_day(name).alias("day"),
         fields.file_hour(name).alias("hour_ts"),
-        lines.field(parts, 1).alias("domain_code"),
+        F.lit(domain).alias("domain_code"),
         lines.field(parts, 2).alias("page_title"),
         lines.field(parts, 3).cast("bigint").alias("views"))
 

@@ -54,8 +54,7 @@ def top_pages(facts: DataFrame, grain: str, n: int = TOP_N,
     """
     if "day" in facts.columns:
         facts = facts.withColumnRenamed("day", "interval_start")
-    ranked = top_rows(above(facts, min_views), ["interval_start"], _order(), n,
-                      spread_by=list(PAGE))
+    ranked = top_rows(above(facts, min_views), ["interval_start"], _order(), n)
     return ranked.select(
         "interval_start",
         fields.interval_label(F.col("interval_start"), grain).alias("interval"),

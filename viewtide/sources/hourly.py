@@ -60,8 +60,7 @@ def limit_per_file(records: DataFrame, n: int,
     """First ``n`` accepted records of every file; 0 keeps all."""
     if n <= 0:
         return records
-    return top_rows(records, ["file_name"], [F.col(name) for name in order], n,
-                    spread_by=list(order)).drop("rank")
+    return top_rows(records, ["file_name"], [F.col(name) for name in order], n).drop("rank")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
