@@ -130,7 +130,7 @@ def top_pages_for(spark, sf_dir):
     path = scratch_path(spark, "top_pages")
     daily = daily_above(daily_lineitem(spark, sf_dir))
     sinks.write_top_pages(ranking.tagged_lists(tops(daily, TOP)), path)
-    lists = spark.read.parquet(path).drop("interval_start")
+    lists = sources.read_top_pages(spark, path).drop("interval_start")
     first, *rest = [ranking.top_pages_for(lists, *lookup) for lookup in LOOKUPS]
     for found in rest:
         first = first.unionByName(found)

@@ -6,6 +6,7 @@ import pytest
 from viewtide import jobs
 from viewtide.plans import master
 from viewtide.sinks import read_serving
+from viewtide.sources import read_top_pages, scan_lines
 
 
 @pytest.fixture
@@ -56,20 +57,47 @@ def test_from_raw_files_to_lookups(spark, year, capsys):
 
 
 def test_master_and_consolidation(spark, year):
-    source = str(year / "raw" / "*" / "*")
-    profile = master.load_master(spark, source, str(year / "master")).first()
+    raw = scan_lines(spark, str(year / "raw" / "*" / "*"), positions=True)
+    profile = master.load_master(raw, str(year / "master")).first()
     assert (profile.files, profile.records, profile.bad_records) == (6, 26, 6)
     stored = spark.read.parquet(str(year / "master"))
     assert stored.count() == 20
     assert stored.filter("year = 2016 AND month = 1").count() == 14
-    master.load_master(spark, source, str(year / "first"), limit=2)
+    master.load_master(raw, str(year / "first"), limit=2)
     assert spark.read.parquet(str(year / "first")).count() == 12
-    master.consolidate(spark, source, str(year / "stamped"), limit=1)
+    master.consolidate(raw, str(year / "stamped"), limit=1)
     assert {r.value for r in spark.read.text(str(year / "stamped")).collect()} == {
         f"{day}{hour}en A 80 0" for day in ("20151231", "20160101", "20160102")
         for hour in ("11", "14")}
 
 
+def test_stages_sum_everything(spark, year):
+    out = str(year / "stages")
+    jobs.main(["stages", str(year / "raw" / "*" / "*"), out, "--partitions", "3"])
+    stages = {name: {r.value for r in spark.read.text(f"{out}/{name}").collect()}
+              for name in ("daily", "weekly", "monthly", "yearly")}
+    assert stages["daily"] >= {"20151231en Small\t100", '20160102en "B"\t140'}
+    assert stages["weekly"] == {"20151227en A\t480", "20151227en Small\t300",
+                                '20151227en "B"\t140'}
+    assert stages["monthly"] == {"201512en A\t160", "201512en Small\t100", "201601en A\t320",
+                                 "201601en Small\t200", '201601en "B"\t140'}
+    assert stages["yearly"] == {"2015en A\t160", "2015en Small\t100", "2016en A\t320",
+                                "2016en Small\t200", '2016en "B"\t140'}
+    assert len(list((year / "stages" / "daily").glob("part-*"))) <= 3
+
+
+def test_file_choice_and_options(spark, year):
+    source = str(year / "raw" / "*" / "*")
+    jobs.main(["trends", source, str(year / "first"), "--files-per-month", "1",
+               "--no-threshold", "--grains", "day", "--collapse-ties"])
+    lists = spark.read.parquet(str(year / "first" / "top_pages")).collect()
+    assert {(r.interval, r["rank"], r.page_title, r.views) for r in lists} == {
+        ("20151231", 1, "A", 80), ("20151231", 2, "Small", 50),
+        ("20160101", 1, "A", 80), ("20160101", 2, "Small", 50)}
+    jobs.main(["trends", source, str(year / "sample"), "--sample", "--grains", "day"])
+    assert read_top_pages(spark, str(year / "sample" / "top_pages")).count() == 0
+
+
 def test_inventory_job(spark, year):
     pages = [("https://h.example/", '<a href="2016/">'),
              ("https://h.example/2016/", '<a href="pageviews-2016.gz">')]

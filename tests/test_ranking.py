@@ -5,6 +5,7 @@ import pytest
 from tests.conftest import plan_of
 from viewtide.operators import layout, ranking, rollup, topn
 from viewtide.sinks import write_top_pages
+from viewtide.sources import read_top_pages
 
 
 def brute(rows, n, floor=100):
@@ -83,7 +84,7 @@ def test_lookup_reads_one_grain(spark, facts, tmp_path):
     lists = {"day": ranking.top_pages(daily, "day", 10),
              "month": ranking.top_pages(rollup.monthly_views(daily), "month", 10)}
     write_top_pages(ranking.tagged_lists(lists), str(tmp_path / "lists"))
-    table = spark.read.parquet(str(tmp_path / "lists"))
+    table = read_top_pages(spark, str(tmp_path / "lists"))
     month = ranking.top_pages_for(table, "month", "201607")
     assert found(month) == found(lists["month"])
     assert "PartitionFilters: [isnotnull(grain" in plan_of(month)

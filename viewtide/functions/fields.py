@@ -63,6 +63,11 @@ def interval_label(start: Column, grain: str) -> Column:
     return F.date_format(start, _LABELS[grain])
 
 
+def label_start(label: Column) -> Column:
+    """First day of the interval a label names."""
+    return F.to_date(F.rpad(label, 8, "01"), "yyyyMMdd")
+
+
 def page_id(domain_code: Column, page_title: Column) -> Column:
     return F.concat_ws(" ", domain_code, page_title)
 

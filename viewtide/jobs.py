@@ -1,29 +1,49 @@
-"""Command line: ``spark-submit viewtide/jobs.py <job> ...`` or ``python -m viewtide.jobs``."""
+"""Command line: ``python -m viewtide.jobs <job> ...`` or through spark-submit."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from viewtide.operators.inventory import list_data_files
 from viewtide.operators.layout import STORAGE_LEVELS
 from viewtide.operators.ranking import top_pages_for
 from viewtide.params import DATA_FILE_LINK, DIRECTORY_LINK, DOMAIN, GRAINS, MIN_VIEWS, TOP_N
-from viewtide.plans import master, publish, trends
-from viewtide.sources import scope_paths
+from viewtide.plans import master, publish, stages, trends
+from viewtide.sources import (
+    files_limit,
+    keep_files,
+    list_files,
+    read_top_pages,
+    sample_files,
+    scan_lines,
+    scope_paths,
+)
+
+
+def _lines(spark: SparkSession, args: argparse.Namespace, positions: bool = False) -> DataFrame:
+    """Lines of the chosen scope: years and months, sample, or first files."""
+    source = args.source
+    if args.year is not None:
+        source = scope_paths(args.source, args.year, args.start_month, args.end_month)
+    raw = scan_lines(spark, source, positions=positions)
+    if args.sample:
+        raw = sample_files(raw)
+    if args.files_per_month:
+        raw = keep_files(raw, files_limit(list_files(spark, source), args.files_per_month))
+    return raw
 
 
-def _source(args: argparse.Namespace) -> str | list[str]:
-    if args.year is None:
-        return args.source
-    return scope_paths(args.source, args.year, args.start_month, args.end_month)
+def _trends(spark: SparkSession, args: argparse.Namespace) -> None:
+    options = trends.TrendOptions(
+        domain=args.domain, min_views=None if args.no_threshold else args.min_views,
+        top_n=args.top_n, collapse_ties=args.collapse_ties, grains=tuple(args.grains))
+    trends.build_trends(_lines(spark, args), args.output, args.storage_level, options)
 
 
-def _trends(spark: SparkSession, args: argparse.Namespace) -> None:
-    options = trends.TrendOptions(domain=args.domain, min_views=args.min_views,
-                                  top_n=args.top_n, grains=tuple(args.grains))
-    trends.build_trends(spark, _source(args), args.output, args.storage_level, options)
+def _stages(spark: SparkSession, args: argparse.Namespace) -> None:
+    stages.build_stages(_lines(spark, args), args.output, args.partitions, args.domain)
 
 
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -32,16 +52,18 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _lookup(spark: SparkSession, args: argparse.Namespace) -> None:
-    lists = spark.read.parquet(args.table)
+    lists = read_top_pages(spark, args.table)
     top_pages_for(lists, args.grain, args.interval).orderBy("rank").show(args.rows, False)
 
 
 def _master(spark: SparkSession, args: argparse.Namespace) -> None:
-    master.load_master(spark, _source(args), args.output, args.limit).show(truncate=False)
+    raw = _lines(spark, args, positions=args.limit > 0)
+    master.load_master(raw, args.output, args.limit).show(truncate=False)
 
 
 def _consolidate(spark: SparkSession, args: argparse.Namespace) -> None:
-    master.consolidate(spark, _source(args), args.output, args.limit).show(truncate=False)
+    raw = _lines(spark, args, positions=args.limit > 0)
+    master.consolidate(raw, args.output, args.limit).show(truncate=False)
 
 
 def _inventory(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -54,28 +76,38 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="viewtide.jobs")
     jobs = top.add_subparsers(required=True)
 
-    def job(name, run, *paths, scoped=False):
+    def job(name, run, *paths):
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
         for path in paths:
             sub.add_argument(path)
-        if scoped:
-            for bound in ("--year", "--start-month", "--end-month"):
-                sub.add_argument(bound, type=int)
         return sub
 
-    sub = job("trends", _trends, "source", "output", scoped=True)
-    sub.add_argument("--storage-level", default="MEMDISK", choices=list(STORAGE_LEVELS))
+    def load(name, run):
+        sub = job(name, run, "source", "output")
+        for bound in ("--year", "--start-month", "--end-month"):
+            sub.add_argument(bound, type=int)
+        sub.add_argument("--sample", action="store_true", help="only the fixed sample files")
+        sub.add_argument("--files-per-month", type=int, default=0, help="first files, 0 for all")
+        return sub
+
+    sub = load("trends", _trends)
+    sub.add_argument("--storage-level", choices=list(STORAGE_LEVELS))
     sub.add_argument("--domain", default=DOMAIN)
     sub.add_argument("--min-views", type=int, default=MIN_VIEWS)
+    sub.add_argument("--no-threshold", action="store_true")
     sub.add_argument("--top-n", type=int, default=TOP_N)
+    sub.add_argument("--collapse-ties", action="store_true")
     sub.add_argument("--grains", nargs="+", default=["day", "month", "year"], choices=GRAINS)
+    sub = load("stages", _stages)
+    sub.add_argument("--domain", default=DOMAIN)
+    sub.add_argument("--partitions", type=int)
+    for name, run in (("master", _master), ("consolidate", _consolidate)):
+        load(name, run).add_argument(
+            "--limit", type=int, default=0, help="accepted records per file, 0 for all")
     job("publish", _publish, "source", "serving")
     sub = job("lookup", _lookup, "table", "grain", "interval")
     sub.add_argument("--rows", type=int, default=TOP_N)
-    for name, run in (("master", _master), ("consolidate", _consolidate)):
-        job(name, run, "source", "output", scoped=True).add_argument(
-            "--limit", type=int, default=0, help="accepted records per file, 0 for all")
     sub = job("inventory", _inventory, "pages", "start_url", "output")
     sub.add_argument("--directory-link", default=DIRECTORY_LINK)
     sub.add_argument("--file-link", default=DATA_FILE_LINK)

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from viewtide.operators import quality
 from viewtide.sinks import write_master, write_stamped_lines
-from viewtide.sources import limit_per_file, scan_lines
+from viewtide.sources import limit_per_file
+
 
+def load_master(raw: DataFrame, path: str, limit: int = 0) -> DataFrame:
+    """Writes the typed records of all domains; returns the load profile.
 
-def load_master(spark: SparkSession, source: str | Sequence[str], path: str,
-                limit: int = 0) -> DataFrame:
-    """Writes the typed records of all domains; returns the load profile."""
-    raw = scan_lines(spark, source, positions=limit > 0)
+    A ``limit`` of accepted records per file needs lines scanned with positions.
+    """
     records = limit_per_file(quality.master_records(raw), limit)
     write_master(records.drop("block_start", "line_id"), path)
     return quality.load_profile(raw)
 
 
-def consolidate(spark: SparkSession, source: str | Sequence[str], path: str,
-                limit: int = 0) -> DataFrame:
+def consolidate(raw: DataFrame, path: str, limit: int = 0) -> DataFrame:
     """Writes hour-stamped lines of all files; returns the load profile."""
-    raw = scan_lines(spark, source, positions=limit > 0)
     write_stamped_lines(limit_per_file(quality.stamp_lines(raw), limit), path)
     return quality.load_profile(raw)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.operators import documents, quality, ranking, rollup, series
 from viewtide.operators.layout import persist_level
 from viewtide.params import DOMAIN, MIN_VIEWS, TOP_N, URL_PREFIX
 from viewtide.sinks import doc_lines, write_doc_lines, write_facts, write_top_pages
-from viewtide.sources import scan_lines
+from viewtide.sources import read_daily, read_top_pages
 
 
 @dataclass(frozen=True)
@@ -21,6 +21,7 @@ class TrendOptions:
     min_views: int | None = MIN_VIEWS
     top_n: int = TOP_N
     url_prefix: str = URL_PREFIX
+    collapse_ties: bool = False
     grains: Sequence[str] = ("day", "month", "year")
 
 
@@ -40,8 +41,11 @@ def grain_facts(daily: DataFrame, grains: Sequence[str]) -> dict[str, DataFrame]
 
 def top_lists(daily: DataFrame, options: TrendOptions = TrendOptions()) -> dict[str, DataFrame]:
     """Ranked pages per grain."""
-    return {grain: ranking.top_pages(facts, grain, options.top_n, options.min_views)
+    tops = {grain: ranking.top_pages(facts, grain, options.top_n, options.min_views)
             for grain, facts in grain_facts(daily, options.grains).items()}
+    if not options.collapse_ties:
+        return tops
+    return {grain: ranking.collapse_ties(ranked) for grain, ranked in tops.items()}
 
 
 def popular_series(daily: DataFrame, *tops: DataFrame) -> DataFrame:
@@ -50,25 +54,27 @@ def popular_series(daily: DataFrame, *tops: DataFrame) -> DataFrame:
     return series.page_series(series.popular_daily_views(daily, popular))
 
 
-def build_trends(spark: SparkSession, source: str | Sequence[str], output: str,
-                 storage_level: str = "MEMDISK",
+def build_trends(raw: DataFrame, output: str, storage_level: str | None = None,
                  options: TrendOptions = TrendOptions()) -> None:
-    """Reads hourly files and writes, below ``output``:
+    """From scanned lines, writes below ``output``:
 
-    ``daily``: facts by year and month; months in ``source`` are replaced.
+    ``daily``: facts by year and month; months present in ``raw`` are replaced.
     ``top_pages``: lookup table by grain, rebuilt from all daily facts.
     ``documents``: text by grain and year. ``series``: documents of popular pages.
 
     The daily facts are written once and read back. Every later step starts
     from that table, so a lost executor never leads back to the raw text.
-    ``storage_level`` is where the table is kept between steps.
+    ``storage_level`` additionally keeps the table in executors between steps;
+    that pays where reading it back is slow.
     """
-    write_facts(daily_facts(scan_lines(spark, source), options), f"{output}/daily")
-    table = spark.read.parquet(f"{output}/daily").drop("year", "month")
-    daily = persist_level(table, storage_level)
+    spark = raw.sparkSession
+    write_facts(daily_facts(raw, options), f"{output}/daily")
+    daily = read_daily(spark, f"{output}/daily").drop("year", "month")
+    if storage_level:
+        daily = persist_level(daily, storage_level)
     try:
         write_top_pages(ranking.tagged_lists(top_lists(daily, options)), f"{output}/top_pages")
-        stored = spark.read.parquet(f"{output}/top_pages").filter(
+        stored = read_top_pages(spark, f"{output}/top_pages").filter(
             F.col("grain").isin(list(options.grains)))
         for grain in options.grains:
             ranked = stored.filter(F.col("grain") == grain)
@@ -77,4 +83,5 @@ def build_trends(spark: SparkSession, source: str | Sequence[str], output: str,
         docs = series.page_series_docs(popular_series(daily, stored))
         docs.write.mode("overwrite").parquet(f"{output}/series")
     finally:
-        daily.unpersist()
+        if storage_level:
+            daily.unpersist()

@@ -17,6 +17,7 @@ from viewtide.operators.documents import with_validity
 
 _LOAD_ORDER = ("file_path", "block_start", "line_id")
 _VERSION_SCHEMA = "version INT"
+_DOC_SCHEMA = "doc_id STRING, doc STRING"
 
 
 def latest_docs(incoming: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def publish_docs(incoming: DataFrame, path: str) -> None:
     """
     spark = incoming.sparkSession
     current = _current_version(spark, path)
-    existing = None if current is None else spark.read.parquet(_version_path(path, current))
+    existing = None if current is None else read_serving(spark, path)
     version = 0 if current is None else current + 1
     upsert_docs(existing, incoming).write.mode("overwrite").parquet(_version_path(path, version))
     (spark.createDataFrame([(version,)], _VERSION_SCHEMA).coalesce(1)
@@ -55,7 +56,7 @@ def read_serving(spark: SparkSession, path: str) -> DataFrame:
     current = _current_version(spark, path)
     if current is None:
         raise FileNotFoundError(f"nothing published at {path}")
-    return spark.read.parquet(_version_path(path, current))
+    return spark.read.schema(_DOC_SCHEMA).parquet(_version_path(path, current))
 
 
 def _version_path(path: str, version: int) -> str:

@@ -9,9 +9,16 @@ from viewtide.sources.hourly import (
     scan_lines,
     scope_paths,
 )
-from viewtide.sources.stored import read_doc_lines, read_master, read_stage_kv
+from viewtide.sources.stored import (
+    read_daily,
+    read_doc_lines,
+    read_master,
+    read_stage_kv,
+    read_top_pages,
+)
 
 __all__ = [
     "files_limit", "keep_files", "limit_per_file", "list_files", "load_scope", "sample_files",
-    "scan_lines", "scope_paths", "read_doc_lines", "read_master", "read_stage_kv",
+    "scan_lines", "scope_paths", "read_daily", "read_doc_lines", "read_master", "read_stage_kv",
+    "read_top_pages",
 ]

@@ -63,10 +63,12 @@ def limit_per_file(records: DataFrame, n: int,
     return top_rows(records, ["file_name"], [F.col(name) for name in order], n).drop("rank")
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Inventory ``file_name, length`` of a folder tree; contents are not read."""
+def list_files(spark: SparkSession, path: str | Sequence[str],
+               pattern: str = "*") -> DataFrame:
+    """Inventory ``file_name, length`` of folder trees; contents are not read."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", pattern).load(path))
+             .option("pathGlobFilter", pattern)
+             .load(path if isinstance(path, str) else list(path)))
     return found.select(F.substring_index("path", "/", -1).alias("file_name"), "length")
 
 

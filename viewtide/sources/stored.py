@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 
 from viewtide.functions.fields import LABEL_LENGTH, split_page_id
 
+# Schemas are given, so reading starts no inference job and an empty table works.
+_DAILY_SCHEMA = ("day DATE, domain_code STRING, page_title STRING, views BIGINT, "
+                 "year INT, month INT")
+_TOP_PAGES_SCHEMA = ("interval_start DATE, interval STRING, rank INT, domain_code STRING, "
+                     "page_title STRING, page_id STRING, views BIGINT, grain STRING")
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Daily facts with their partition columns ``year`` and ``month``."""
+    return spark.read.schema(_DAILY_SCHEMA).parquet(path)
+
+
+def read_top_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Lookup table of ranked pages, partitioned by ``grain``."""
+    return spark.read.schema(_TOP_PAGES_SCHEMA).parquet(path)
+
 
 def read_stage_kv(spark: SparkSession, path: str, grain: str) -> DataFrame:
     """Stage text ``label+domain title<TAB>views`` as
