@@ -5,18 +5,26 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewtide.operators.inventory import list_data_files
 from viewtide.operators.layout import STORAGE_LEVELS
 from viewtide.operators.ranking import top_pages_for
-from viewtide.params import DATA_FILE_LINK, DIRECTORY_LINK, DOMAIN, GRAINS, MIN_VIEWS, TOP_N
+from viewtide.params import (
+    DATA_FILE_LINK,
+    DIRECTORY_LINK,
+    DOMAIN,
+    GRAINS,
+    MIN_VIEWS,
+    SAMPLE_FILES,
+    TOP_N,
+)
 from viewtide.plans import master, publish, stages, trends
 from viewtide.sources import (
     files_limit,
     keep_files,
     list_files,
     read_top_pages,
-    sample_files,
     scan_lines,
     scope_paths,
 )
@@ -27,9 +35,9 @@ def _lines(spark: SparkSession, args: argparse.Namespace, positions: bool = Fals
     source = args.source
     if args.year is not None:
         source = scope_paths(args.source, args.year, args.start_month, args.end_month)
-    raw = scan_lines(spark, source, positions=positions)
-    if args.sample:
-        raw = sample_files(raw)
+    # A test on the file name inside the scan skips the other files.
+    sample = F.col("_metadata.file_name").isin(*SAMPLE_FILES) if args.sample else None
+    raw = scan_lines(spark, source, where=sample, positions=positions)
     if args.files_per_month:
         raw = keep_files(raw, files_limit(list_files(spark, source), args.files_per_month))
     return raw
