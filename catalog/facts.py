@@ -16,7 +16,7 @@ from catalog.fixtures import (
 )
 from viewtide.functions import fields
 from viewtide.operators import layout, ranking, rollup
-from viewtide.operators.topn import top_rows
+from viewtide.storage import shared_dir
 
 TOP = 10
 TOP_YEAR = 500
@@ -107,7 +107,7 @@ def top_pages_collapsed(spark, sf_dir):
     return ranking.collapse_ties(ranked).drop("interval_start")
 
 
-def top_pages_daily_deep(spark, sf_dir):
+def top_pages_yearly_deep(spark, sf_dir):
     """A limit above the size up to which Spark prunes before the exchange."""
     daily = daily_above(daily_parts(spark, sf_dir))
     yearly = rollup.yearly_views(rollup.monthly_views(daily))
@@ -122,8 +122,13 @@ def partition_by_key(spark, sf_dir):
 
 
 def persist_level(spark, sf_dir):
+    """A list made from a kept table, which is released again."""
+    shared_dir(spark)
     daily = layout.persist_level(_daily(spark, sf_dir), "DISK")
-    return tops(daily, TOP, ("year",))["year"].drop("interval_start")
+    try:
+        return tops(daily, TOP, ("year",))["year"].drop("interval_start").checkpoint()
+    finally:
+        daily.unpersist()
 
 
 QUERIES = {
@@ -152,7 +157,7 @@ QUERIES = {
     "top_pages_weekly": _top("week"),
     "top_pages_monthly": _top("month"),
     "top_pages_yearly": _top("year", TOP_YEAR, daily_parts),
-    "top_pages_yearly_deep": top_pages_daily_deep,
+    "top_pages_yearly_deep": top_pages_yearly_deep,
     "page_rank_no": page_rank_no,
     "top_pages_collapsed": top_pages_collapsed,
     "partition_by_key": partition_by_key,

@@ -94,6 +94,7 @@ def reject_report(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
     """
     reason = F.col("reject_reason")
     quoted = F.contains(lines.field(F.col("fields"), 2), F.lit('"'))
+    # Counter names.
     counters = {
         "GOOD": reason.isNull(),
         "BAD": reason.isNotNull(),
