@@ -101,6 +101,16 @@ def test_split_happens_once(raw):
     assert plan.count("split(") == 1
 
 
+def test_text_scan_gets_the_domain_test_and_sums_start_in_the_map_tasks(spark, tmp_path):
+    from tests.conftest import plan_of
+    from viewtide.sources import scan_lines
+    (tmp_path / FILE.removesuffix(".gz")).write_text("en A 1 0\n")
+    raw = scan_lines(spark, str(tmp_path))
+    plan = plan_of(rollup.daily_views(quality.clean_lines(raw)))
+    assert "StringStartsWith(value,en )" in plan
+    assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
+
+
 def test_threshold_is_strict(spark):
     lines = [(FILE, f"en A {n} 0") for n in (60, 40)] + [(FILE, f"en B {n} 0") for n in (60, 41)]
     raw = spark.createDataFrame(lines, "file_name STRING, value STRING")
