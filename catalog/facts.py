@@ -98,6 +98,12 @@ def sort_popularity(spark, sf_dir):
     return plain(ranking.with_position(ranking.sort_popularity(daily)))
 
 
+def top_pages_daily_stored(spark, sf_dir):
+    """The daily lists with pages out of reach dropped by their view count first."""
+    ranked = ranking.top_pages(_daily(spark, sf_dir), "day", TOP, stored=True)
+    return ranked.drop("interval_start")
+
+
 def page_rank_no(spark, sf_dir):
     return _top("day")(spark, sf_dir).select("interval", "rank", "page_title")
 
@@ -154,6 +160,7 @@ QUERIES = {
     "yearly_views_all": _rolled("year", _all_days),
     "sort_popularity": sort_popularity,
     "top_pages_daily": _top("day"),
+    "top_pages_daily_stored": top_pages_daily_stored,
     "top_pages_weekly": _top("week"),
     "top_pages_monthly": _top("month"),
     "top_pages_yearly": _top("year", TOP_YEAR, daily_parts),
@@ -222,6 +229,7 @@ SQL = {
         page_title, views, row_number() OVER (ORDER BY day DESC, views DESC, page_title)
           AS "position" FROM l_day"""),
     "top_pages_daily": _top_sql("l", "day"),
+    "top_pages_daily_stored": _top_sql("l", "day"),
     "top_pages_weekly": _top_sql("l", "week"),
     "top_pages_monthly": _top_sql("l", "month"),
     "top_pages_yearly": _top_sql("w", "year", TOP_YEAR),

@@ -36,6 +36,23 @@ def test_equals_sorting_everything(facts, n):
     assert found(ranking.top_pages(facts(*rows), "day", n)) == brute(rows, n)
 
 
+@pytest.mark.parametrize("n", [1, 10, 500, 5000])
+@pytest.mark.parametrize("partitions", ["1", "4"])
+def test_dropping_by_view_count_first_changes_nothing(facts, set_conf, n, partitions):
+    set_conf("spark.sql.shuffle.partitions", partitions)
+    rows = skewed()
+    assert found(ranking.top_pages(facts(*rows), "day", n, stored=True)) == brute(rows, n)
+
+
+def test_reach_keeps_ties_at_the_cutoff(facts):
+    rows = [("2016-07-01", page, views) for page, views in
+            (("A", 300), ("B", 200), ("C", 200), ("D", 200), ("E", 150))]
+    frame = facts(*rows).withColumnRenamed("day", "interval_start")
+    kept = {n: {r.page_title for r in ranking.within_reach(frame, n).collect()}
+            for n in (1, 2, 4, 5, 9)}
+    assert kept == {1: {"A"}, 2: set("ABCD"), 4: set("ABCD"), 5: set("ABCDE"), 9: set("ABCDE")}
+
+
 def test_deep_limit_uses_more_rounds(facts, set_conf):
     set_conf("spark.sql.optimizer.windowGroupLimitThreshold", "5")
     rows = skewed(600)

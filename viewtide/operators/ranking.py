@@ -45,16 +45,40 @@ def with_position(ordered: DataFrame, name: str = "position") -> DataFrame:
             .drop("_range", "_row", "_before"))
 
 
+def within_reach(facts: DataFrame, n: int) -> DataFrame:
+    """Facts with at least the ``n``-th highest view count of their interval.
+
+    No page of a top list is lost, ties included. The cutoffs come from counts
+    per interval and view count, which needs no page names. They are broadcast:
+    one row per interval, so a century of days is under 40,000 rows.
+    """
+    counts = facts.groupBy("interval_start", "views").agg(F.count("*").alias("_pages"))
+    highest = top_rows(counts, ["interval_start"], [F.col("views").desc()], n)
+    higher = (Window.partitionBy("interval_start").orderBy(F.col("views").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    cutoffs = (highest.withColumn("_above", F.coalesce(F.sum("_pages").over(higher), F.lit(0)))
+               .filter(F.col("_above") < n)
+               .groupBy("interval_start").agg(F.min("views").alias("_cutoff")))
+    return (facts.join(F.broadcast(cutoffs), "interval_start")
+            .filter(F.col("views") >= F.col("_cutoff")).drop("_cutoff"))
+
+
 def top_pages(facts: DataFrame, grain: str, n: int = TOP_N,
-              min_views: int | None = MIN_VIEWS) -> DataFrame:
+              min_views: int | None = MIN_VIEWS, stored: bool = False) -> DataFrame:
     """The ``n`` most viewed pages of every interval, ranked from 1.
 
     Equal counts are ordered by page and none is lost. Returns
     ``interval_start, interval, rank, domain_code, page_title, page_id, views``.
+
+    ``stored`` says that the facts are cheap to read twice. Then most of them
+    are dropped by their view count before any sort compares page names; on
+    facts that would be computed twice this costs more than it saves.
     """
     if "day" in facts.columns:
         facts = facts.withColumnRenamed("day", "interval_start")
-    ranked = top_rows(above(facts, min_views), ["interval_start"], _order(), n)
+    facts = above(facts, min_views)
+    ranked = top_rows(within_reach(facts, n) if stored else facts, ["interval_start"],
+                      _order(), n)
     return ranked.select(
         "interval_start",
         fields.interval_label(F.col("interval_start"), grain).alias("interval"),

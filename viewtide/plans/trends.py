@@ -39,9 +39,11 @@ def grain_facts(daily: DataFrame, grains: Sequence[str]) -> dict[str, DataFrame]
     return {grain: facts[grain] for grain in grains}
 
 
-def top_lists(daily: DataFrame, options: TrendOptions = TrendOptions()) -> dict[str, DataFrame]:
-    """Ranked pages per grain."""
-    tops = {grain: ranking.top_pages(facts, grain, options.top_n, options.min_views)
+def top_lists(daily: DataFrame, options: TrendOptions = TrendOptions(),
+              stored: bool = False) -> dict[str, DataFrame]:
+    """Ranked pages per grain. ``stored``: the daily facts are a table on disk."""
+    tops = {grain: ranking.top_pages(facts, grain, options.top_n, options.min_views,
+                                     stored and grain == "day")
             for grain, facts in grain_facts(daily, options.grains).items()}
     if not options.collapse_ties:
         return tops
@@ -73,7 +75,8 @@ def build_trends(raw: DataFrame, output: str, storage_level: str | None = None,
     if storage_level:
         daily = persist_level(daily, storage_level)
     try:
-        write_top_pages(ranking.tagged_lists(top_lists(daily, options)), f"{output}/top_pages")
+        tops = top_lists(daily, options, stored=True)
+        write_top_pages(ranking.tagged_lists(tops), f"{output}/top_pages")
         stored = read_top_pages(spark, f"{output}/top_pages").filter(
             F.col("grain").isin(list(options.grains)))
         for grain in options.grains:
