@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtide.llm import html_text
+import public_tokenizers
+
+from viewtide.llm import html_text, packing, token_files
+from viewtide.storage import scratch_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_minimum_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
+    sums = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens")
+    return packing.pack(sums).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+        "sequence_size", "padded_size")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token_files")
+    token_files.write_token_files(
+        _table(spark, sf_dir, "documents"), folder, TOKENIZER, end_id=2)
+    return token_files.read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return (html_text.extract_pages(pages)
@@ -19,6 +41,8 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_minimum_slack": op5_minimum_slack,
+    "op6_token_files": op6_token_files,
     "op10_main_text": op10_main_text,
 }
 SQL: dict[str, str] = {}
