@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import html_text, packing, token_files
+from viewtide.llm import html_text, packing, simhash, token_files
 from viewtide.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"),
+                         "component_id")
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return (html_text.extract_pages(pages)
@@ -43,6 +49,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
+    "op7_simhash": op7_simhash,
     "op10_main_text": op10_main_text,
 }
 SQL: dict[str, str] = {}
