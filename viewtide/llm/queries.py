@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import html_text, packing, simhash, token_files
+from viewtide.llm import html_text, packing, quality, simhash, token_files
 from viewtide.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality.quality_verdicts(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                           "n_repeat_words", "base_failed", "kept")
+
+
 def op5_minimum_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
     sums = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -47,6 +54,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
     "op7_simhash": op7_simhash,
