@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import html_text, packing, quality, simhash, token_files
+from viewtide.llm import decontamination, html_text, packing, quality, simhash, token_files
 from viewtide.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -47,6 +47,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.benchmark_matches(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"),
+        _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct("matches.item_id")).alias("item_ids"),
+        F.array_max("matches.similarity").alias("similarity"), "matches")
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return (html_text.extract_pages(pages)
@@ -58,6 +68,7 @@ QUERIES = {
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
     "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
 }
 SQL: dict[str, str] = {}
