@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import decontamination, html_text, packing, quality, simhash, token_files
+from viewtide.llm import decontamination, html_text, packing, pii, quality, simhash, token_files
 from viewtide.storage import scratch_path
 
+# Stands for the secret of a deployment; whoever holds it can undo the pseudonyms.
+PSEUDONYM_KEY = "key of the example queries"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -24,6 +26,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "n_repeat_words", "base_failed", "kept")
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                PSEUDONYM_KEY, found="found")
+    return replaced.select("doc_id", "text", F.size("found").alias("n_found"),
+                           F.col("found.kind").alias("kinds"))
+
+
 def op5_minimum_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
     sums = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -65,6 +74,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
     "op7_simhash": op7_simhash,
