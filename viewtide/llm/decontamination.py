@@ -230,3 +230,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, output: str = "matc
                 [row["item_id"] for row in rows], tuple(row["text"] for row in rows),
                 shingle, similarity, radius, F.col("text"))))
     return found
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that match no item; columns stay as they are."""
+    found = "_benchmark_matches"
+    return benchmark_matches(docs, benchmark, found).filter(F.size(found) == 0).drop(found)

@@ -225,3 +225,20 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, risk: float = RISK,
     measured = stored(measure(docs, strata), "quality")
     cutoffs = certified_cutoffs(holdout(measured, labels), risk, error, strata)
     return judge(measured, cutoffs, strata)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK,
+              error: float = ERROR) -> DataFrame:
+    """The documents that the rules keep, with their own columns.
+
+    Verdicts are matched to rows by id and hash of the text, which decide them
+    together with the language; a row is kept once however often it is repeated.
+    """
+    verdicts = quality_verdicts(docs, labels, risk, error)
+    kept = verdicts.filter("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
+        F.col("stratum").alias("_stratum")).distinct()
+    same = (docs["doc_id"].eqNullSafe(kept["_id"])
+            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_hash"])
+            & (stratum(docs["lang"]) == kept["_stratum"]))
+    return docs.join(kept, same, "left_semi")

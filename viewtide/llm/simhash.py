@@ -177,19 +177,52 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD,
     return pairs.unionByName(crowded)
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, crowd: int, block: int) -> DataFrame:
+    """Rows ``doc_id, text_hash, f, component``; the component is a fingerprint."""
+    marked = stored(
+        fingerprints(docs.select("doc_id", "text"), shingle)
+        .select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+                F.col("fingerprint").alias("f")), "fingerprints")
+    marks = marked.select("f").distinct()
+    group = components(links(marks, radius, crowd, block))
+    named = marks.join(group, marks["f"] == group["node"], "left").select(
+        "f", F.coalesce("component", "f").alias("component"))
+    return marked.join(named, "f")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                     crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """Rows ``doc_id, fingerprint, component_id`` of all documents.
 
     ``component_id`` is the smallest id that can be reached through links.
     """
-    marked = stored(fingerprints(docs.select("doc_id", "text"), shingle)
-                     .select("doc_id", F.col("fingerprint").alias("f")), "fingerprints")
-    marks = marked.groupBy("f").agg(F.min("doc_id").alias("first_id"))
-    group = stored(components(links(marks.select("f"), radius, crowd, block)), "components")
-    named = marks.join(group, marks["f"] == group["node"], "left").select(
-        "f", F.coalesce("component", "f").alias("component"), "first_id")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    whole = named.join(smallest, "component").select("f", "component_id")
-    return marked.join(whole, "f").select(
+    rows = stored(_grouped(docs, shingle, radius, crowd, block), "groups")
+    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "component").select(
         "doc_id", F.col("f").alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
+                         crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
+    """One document of every component: that of the smallest id.
+
+    A missing id comes last. Of several texts under that id the one of smallest
+    hash stays, and of equal rows one. Columns stay as they are.
+    """
+    rows = _grouped(docs, shingle, radius, crowd, block)
+    texts = rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = texts.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "n")).alias("first"))
+    keys = stored(first.select(F.col("first.doc_id").alias("_viewtide_id"),
+                               F.col("first.text_hash").alias("_viewtide_hash"),
+                               F.col("first.n").alias("_n")), "representatives")
+
+    def of(chosen: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(chosen["_viewtide_id"]) & (
+            F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen["_viewtide_hash"])
+        return docs.join(chosen, same, "left_semi")
+    # Only rows that are repeated need a second look.
+    repeated = of(keys.filter("_n > 1"))
+    kept = repeated.withColumn("_viewtide_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return of(keys.filter("_n = 1")).unionByName(
+        kept.dropDuplicates(["doc_id", "_viewtide_hash"]).drop("_viewtide_hash"))
