@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import decontamination, html_text, packing, pii, quality, simhash, token_files
+from viewtide.llm import decontamination, html_text, packing, pii, quality, simhash, token_files, toxicity
 from viewtide.storage import scratch_path
 
 # Stands for the secret of a deployment; whoever holds it can undo the pseudonyms.
@@ -26,6 +26,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "n_repeat_words", "base_failed", "kept")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                 PSEUDONYM_KEY, found="found")
@@ -74,6 +82,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
