@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import decontamination, html_text, packing, pii, quality, simhash, token_files, toxicity
+from viewtide.llm import decontamination, html_text, packing, pii, ppm, quality, simhash, token_files, toxicity
 from viewtide.storage import scratch_path
 
 # Stands for the secret of a deployment; whoever holds it can undo the pseudonyms.
@@ -64,6 +64,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op8_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.benchmark_matches(
         _table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -87,6 +91,7 @@ QUERIES = {
     "op5_minimum_slack": op5_minimum_slack,
     "op6_token_files": op6_token_files,
     "op7_simhash": op7_simhash,
+    "op8_partial_matching": op8_partial_matching,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
 }
