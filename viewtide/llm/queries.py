@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import decontamination, html_text, packing, pii, ppm, quality, simhash, token_files, toxicity
+from viewtide.llm import decontamination, html_text, packing, pii, ppm, quality, sharding, simhash, token_files, toxicity
 from viewtide.storage import scratch_path
 
 # Stands for the secret of a deployment; whoever holds it can undo the pseudonyms.
@@ -26,6 +26,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "n_repeat_words", "base_failed", "kept")
 
 
+def op2_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -86,6 +92,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_label_propagation": op2_label_propagation,
     "op3_toxicity": op3_toxicity,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_minimum_slack": op5_minimum_slack,
