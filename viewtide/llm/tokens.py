@@ -16,8 +16,10 @@ from itertools import chain
 import numpy as np
 
 # Words kept in a task's memory; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 _TOGETHER = 256
+_TAIL = ".,"
+_LATIN = "\u0180"
 
 _ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 # Characters that str.split() and tokenizers may judge differently.
@@ -43,6 +45,9 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         plain = [self._plain(text) for text in ("ab", "cd", "ab cd", " \n")]
         self.by_word = plain[0] + plain[1] == plain[2] and not plain[3]
+        self.by_part = self.by_word and all(
+            self._plain(a) == self._plain(b) + self._plain(c) for a, b, c in
+            (("Cab,", "cab", ","), ("the.,", "the", ".,"), ("Éa.", "éa", ".")))
         self.mark = next(
             ((token.content, number) for number, token
              in self.tokenizer.get_added_tokens_decoder().items()
@@ -53,8 +58,35 @@ class Encoder:
                         self.dtype).tobytes()
 
     def _learn(self, words: Iterable[str]) -> None:
-        """Ids of unknown words, many in one call with a special token between them."""
-        new = list(words)
+        """Ids of unknown words.
+
+        A word of Latin letters with full stops or commas behind it has the ids
+        of its letters, small ones, and then those of the rest. Most new words
+        are known ones in another dress.
+        """
+        known = self.words
+        if not self.by_part:
+            self._encode_words(list(words))
+            return
+        whole, parts, new = [], [], set()
+        for word in words:
+            core = word.rstrip(_TAIL)
+            if core and core.isalpha() and max(core) < _LATIN:
+                tail = word[len(core):]
+                if not core[0].islower():
+                    core = core[0].lower() + core[1:]
+                parts.append((word, core, tail))
+                if core not in known:
+                    new.add(core)
+                if tail not in known:
+                    new.add(tail)
+            else:
+                whole.append(word)
+        self._encode_words([*whole, *new])
+        known.update([(word, known[core] + known[tail]) for word, core, tail in parts])
+
+    def _encode_words(self, new: list[str]) -> None:
+        """Encodes words, many in one call with a special token between them."""
         if self.mark is None:
             joined: list[str] = []
             alone = new
