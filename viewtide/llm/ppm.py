@@ -109,10 +109,10 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, order: int = ORDER,
                     counts.setdefault(word, 0)
             yield _uses(chunk, word=list(counts), n=list(counts.values()))
             seen, number_of = np.unique(grams(list(train), order)[0], return_counts=True)
-            yield _uses(chunk, gram=seen, n=number_of)
             other = np.unique(grams(list(rows.loc[rows["held_out"], "tokens"]), order)[0])
             other = np.setdiff1d(other, seen, assume_unique=True)
-            yield _uses(chunk, gram=other, n=np.zeros(len(other), np.int64))
+            yield _uses(chunk, gram=np.concatenate([seen, other]),
+                        n=np.concatenate([number_of, np.zeros(len(other), np.int64)]))
 
         for frame in frames:
             frame = frame.assign(tokens=frame["text"].map(tokens_of)).drop(columns="text")
