@@ -41,7 +41,7 @@ _UPPER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 
 # Fingerprints that share a variant: up to CROWD are joined directly, more are
 # dealt into blocks of about BLOCK.
-CROWD = 32
+CROWD = 64
 BLOCK = 512
 
 
@@ -151,19 +151,19 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD,
     """Links ``a, b`` between distinct fingerprints that connect all pairs within
     the radius. ``marks`` has one row per fingerprint, in column ``f``."""
     index = marks.select("f", F.explode(variants(F.col("f"), radius)).alias("key"))
-    shared = stored(index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    members = stored(index.join(shared, "key"), "variants")
-    few = members.filter(F.col("n") <= crowd).select("f", "key")
-    pairs = (few.withColumnRenamed("f", "a").join(few.withColumnRenamed("f", "b"), "key")
-             .filter((F.col("a") < F.col("b")) & (_differing("a", "b") <= radius))
-             .select("a", "b").distinct())
+    crowded = stored(index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > crowd),
+                     "crowded")
+    few = index.join(crowded, "key", "left_anti")
+    left, right = (few.select("key", F.col("f").alias(name)) for name in ("a", "b"))
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
+                      & (_differing("a", "b") <= radius)).select("a", "b").distinct()
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         values, second = group["f"].to_numpy("i8"), group["second"].to_numpy(bool)
         return pd.DataFrame(forest(values[~second], values[second], radius),
                             columns=["a", "b"], dtype="i8")
 
-    many = (members.filter(F.col("n") > crowd)
+    many = (index.join(crowded, "key")
             .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int")))
     dealt = many.select(
@@ -173,8 +173,8 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD,
         F.explode(F.when(F.col("own") < F.col("other"), F.array(F.lit(False)))
                   .when(F.col("own") > F.col("other"), F.array(F.lit(True)))
                   .otherwise(F.array(F.lit(False), F.lit(True)))).alias("second"))
-    crowded = dealt.groupBy("key", "i", "j").applyInPandas(meet, "a LONG, b LONG").distinct()
-    return pairs.unionByName(crowded)
+    met = dealt.groupBy("key", "i", "j").applyInPandas(meet, "a LONG, b LONG").distinct()
+    return pairs.unionByName(met)
 
 
 def _grouped(docs: DataFrame, shingle: int, radius: int, crowd: int, block: int) -> DataFrame:
