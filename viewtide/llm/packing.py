@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewtide.llm.graph import stored
 from viewtide.llm.tokens import encoder, widened
 from viewtide.operators.ranking import with_position
 
@@ -151,7 +152,9 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     that is broadcast has a few rows per length for the same reason.
     """
     spark = pieces.sparkSession
-    placed = with_position(pieces.orderBy("length", "doc_id", "start"), "_position")
+    # Stored first: sorting by ranges reads its input twice, and encoding is dear.
+    placed = with_position(
+        stored(pieces, "pieces").orderBy("length", "doc_id", "start"), "_position")
     sizes = {row["length"]: row["n"] for row in
              placed.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows = plan_rows(minimum_slack(sizes, window))
