@@ -39,7 +39,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         6: (user, count, F.lit(" 0 ")),
         7: (F.lit(' User_"'), "user_id", F.lit('" '), count, F.lit(" 0")),
         8: (F.lit(" User "), "user_id", F.lit(" "), count, F.lit(" 0")),
-        9: (user, F.lit("99999999999 0")),
+        9: (user, F.lit("99999999999999999999 0")),
     }
     line = F.concat(domain, user, count, F.lit(" 0"))
     for defect, body in bodies.items():
@@ -143,7 +143,7 @@ raw AS (
     WHEN 6 THEN ' User_' || user_id || ' ' || cnt || ' 0 '
     WHEN 7 THEN ' User_"' || user_id || '" ' || cnt || ' 0'
     WHEN 8 THEN ' User ' || user_id || ' ' || cnt || ' 0'
-    WHEN 9 THEN ' User_' || user_id || ' 99999999999 0'
+    WHEN 9 THEN ' User_' || user_id || ' 99999999999999999999 0'
     ELSE ' User_' || user_id || ' ' || cnt || ' 0' END AS value,
     CASE defect WHEN 1 THEN '-' WHEN 2 THEN 'User' || chr(9) || user_id
       WHEN 7 THEN 'User_"' || user_id || '"' WHEN 8 THEN 'User'

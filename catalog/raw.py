@@ -96,6 +96,7 @@ QUERIES = {
     "reject_rows": _lines(quality.reject_rows),
     "master_records": lambda spark, sf_dir: _flat(
         quality.master_records(raw_events(spark, sf_dir))),
+    "master_reject_counts": _lines(quality.master_reject_counts),
     "stamp_lines": _lines(quality.stamp_lines),
     "load_profile": _lines(quality.load_profile),
     "json_escape": json_escape,
@@ -116,8 +117,8 @@ def _kept_sql(condition):
 
 # Records the typed loader accepts, with their fields.
 MASTER_SQL = """(SELECT seq, file_name, ts, dom AS domain_code, title AS page_title,
-    CAST(CASE WHEN defect = 5 THEN -cnt ELSE cnt END AS INTEGER) AS count_views,
-    CAST(0 AS INTEGER) AS total_response_size
+    CAST(CASE WHEN defect = 5 THEN -cnt ELSE cnt END AS BIGINT) AS count_views,
+    CAST(0 AS BIGINT) AS total_response_size
   FROM raw WHERE defect NOT IN (3, 4, 8, 9))"""
 _DAILY_SQL = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, dom AS domain_code,
     title AS page_title, CAST(sum(cnt) AS BIGINT) AS views FROM clean GROUP BY ALL"""
@@ -139,7 +140,7 @@ SQL = {
     "sample_files": _kept_sql(f"file_name IN ({_SAMPLE_SQL})"),
     "parse_line": _sql("""SELECT file_name, seq, dom AS domain_code, title AS page_title,
         CASE defect WHEN 4 THEN 'x' || cnt WHEN 5 THEN '-' || cnt WHEN 8 THEN '' || user_id
-          WHEN 9 THEN '99999999999' ELSE '' || cnt END AS count_views,
+          WHEN 9 THEN '99999999999999999999' ELSE '' || cnt END AS count_views,
         CASE defect WHEN 3 THEN NULL WHEN 8 THEN '' || cnt ELSE '0' END AS total_response_size,
         CAST(CASE defect WHEN 3 THEN 3 WHEN 8 THEN 5 ELSE 4 END AS INTEGER) AS field_count
         FROM raw"""),
@@ -165,6 +166,9 @@ SQL = {
         total_response_size, CAST(year(ts) AS INTEGER) AS "year",
         CAST(month(ts) AS INTEGER) AS "month", CAST(day(ts) AS INTEGER) AS "day",
         CAST(hour(ts) AS INTEGER) AS "hour" FROM {MASTER_SQL}"""),
+    "master_reject_counts": _sql("""SELECT CASE WHEN defect IN (3, 8) THEN 'field_count'
+          WHEN defect = 4 THEN 'noninteger_views' WHEN defect = 9 THEN 'views_out_of_range'
+          ELSE 'stored' END AS outcome, count(*) AS lines FROM raw GROUP BY ALL"""),
     "stamp_lines": _sql("""SELECT file_name, seq, strftime(ts, '%Y%m%d%H') || value AS value
         FROM raw WHERE defect NOT IN (3, 8)"""),
     "load_profile": _sql("""SELECT count(DISTINCT file_name) AS files, count(*) AS records,

@@ -19,6 +19,7 @@ from catalog.fixtures import (
 from catalog.raw import MASTER_SQL
 from viewtide import sinks, sources
 from viewtide.operators import documents, quality, ranking, rollup
+from viewtide.params import GRAINS
 from viewtide.storage import scratch_path
 
 SCOPE = (1996, 3, 6)
@@ -176,12 +177,37 @@ def upsert_docs(spark, sf_dir):
     valid = documents.valid_json_docs(seeded_lines(spark, sf_dir))
     for batch in (1, 2):
         sinks.publish_docs(valid.filter(F.col("batch") == batch), path)
+    return sinks.read_serving(spark, path).drop("grain")
+
+
+def _all_grain_lines(spark, sf_dir):
+    """Document lines of all four grains on disk; weeks and their Sundays share ids."""
+    path = scratch_path(spark, "all_grains")
+    daily = daily_above(daily_lineitem(spark, sf_dir))
+    for grain, ranked in tops(daily, TOP, GRAINS).items():
+        docs = documents.interval_docs(documents.nest_top_pages(ranked))
+        sinks.write_doc_lines(sinks.doc_lines(docs, grain), path)
+    return sources.read_doc_lines(spark, path)
+
+
+def upsert_docs_all_grains(spark, sf_dir):
+    """Days, weeks, months and years in one serving table."""
+    path = scratch_path(spark, "serving")
+    sinks.publish_docs(documents.valid_json_docs(_all_grain_lines(spark, sf_dir)), path)
     return sinks.read_serving(spark, path)
 
 
+def load_report_all_grains(spark, sf_dir):
+    """The report per grain against a table that holds the days."""
+    lines = _all_grain_lines(spark, sf_dir)
+    days = documents.valid_json_docs(lines).filter("grain = 'day'")
+    return sinks.load_report(lines, days, by=["grain"])
+
+
 def upsert_docs_at_once(spark, sf_dir):
     """Both batches in one load: the later path wins."""
-    return sinks.upsert_docs(None, documents.valid_json_docs(seeded_lines(spark, sf_dir)))
+    return sinks.upsert_docs(
+        None, documents.valid_json_docs(seeded_lines(spark, sf_dir))).drop("grain")
 
 
 def load_report(spark, sf_dir):
@@ -208,7 +234,9 @@ QUERIES = {
     "invalid_json_docs": invalid_json_docs,
     "upsert_docs": upsert_docs,
     "upsert_docs_at_once": upsert_docs_at_once,
+    "upsert_docs_all_grains": upsert_docs_all_grains,
     "load_report": load_report,
+    "load_report_all_grains": load_report_all_grains,
 }
 
 _DOCS = docs_sql(top_sql("l", "day", TOP))
@@ -226,6 +254,9 @@ bad AS (
   UNION ALL SELECT 1, doc_id, replace(doc, '"interval"', 'interval')
     FROM docs WHERE ym = '199803')"""
 _UPSERTED_SQL = f"{_SEEDED_SQL} SELECT doc_id, doc FROM good WHERE batch = 2"
+_ALL_GRAINS_SQL = " UNION ALL ".join(
+    f"SELECT '{grain}' AS grain, doc_id, doc FROM {docs_sql(top_sql('l', grain, TOP))}"
+    for grain in GRAINS)
 _LOOKUP_SQL = " UNION ALL ".join(
     f"""SELECT '{grain}' AS grain, "interval", "rank", domain_code, page_title, page_id, views
         FROM {top_sql("l", grain, TOP)} WHERE "interval" = '{interval}'"""
@@ -269,6 +300,11 @@ SQL = {
     "invalid_json_docs": f"{_SEEDED_SQL} SELECT batch, doc_id, doc FROM bad",
     "upsert_docs": _UPSERTED_SQL,
     "upsert_docs_at_once": _UPSERTED_SQL,
+    "upsert_docs_all_grains": f"WITH {LINEITEM_SQL} {_ALL_GRAINS_SQL}",
+    "load_report_all_grains": f"""WITH {LINEITEM_SQL} SELECT grain, count(*) AS lines,
+        CAST(0 AS BIGINT) AS blank, CAST(0 AS BIGINT) AS invalid, count(*) AS loaded,
+        count(*) FILTER (grain <> 'day') AS created, count(*) FILTER (grain = 'day') AS updated
+        FROM ({_ALL_GRAINS_SQL}) GROUP BY grain""",
     "load_report": f"""{_SEEDED_SQL},
         blanks AS (SELECT 1 AS batch, count(*) AS n FROM docs WHERE ym = '199804'),
         bads AS (SELECT 1 AS batch, count(*) AS n FROM bad),

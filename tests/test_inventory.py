@@ -23,6 +23,11 @@ def hrefs(spark, html):
     ('<a href="?a=1&amp;b=&quot;2&quot;">', ['?a=1&b="2"']),
     ('<a href="&amp;lt;">', ["&lt;"]),
     ('<a href="">', [""]),
+    ('<a title="a>b" href="x">', ["x"]),
+    ('<a title="x href=y" href="z">', ["z"]),
+    ("<a disabled data-x='1' href=z>", ["z"]),
+    ('<a href="&#65;&#x42;&#38;lt;&amp;#65;&#0;">', ["AB&lt;&#65;\ufffd"]),
+    ('<a href="yes"><!-- open <a href="no">', ["yes"]),
 ])
 def test_anchor_hrefs(spark, html, expected):
     assert hrefs(spark, html) == expected
@@ -54,4 +59,7 @@ def test_walk_reaches_every_level_once(spark):
         ROOT + "2016/2016-07/pageviews-20160701-110000.gz",
         ROOT + "2016/2016-07/2016-07/pageviews-2016-deep.gz"])
     assert {r.file_name for r in found} >= {"pageviews-2015.gz"}
+    assert inventory.list_data_files(
+        spark.createDataFrame([(ROOT, '<a href="">')], "url STRING, html STRING"), ROOT,
+        directory=".*").count() == 0
     assert inventory.list_data_files(pages, "https://nowhere.example.org/").count() == 0

@@ -26,9 +26,9 @@ CASES = [
     ("en Foo  0", "noninteger_views"),
     ("en Foo ١٢ 0", "noninteger_views"),
     ("en Foo 1.5 0", "noninteger_views"),
-    ("en Foo 99999999999 0", "views_out_of_range"),
+    ("en Foo 99999999999999999999 0", "views_out_of_range"),
     ("en Foo 2147483647 0", None),
-    ("en Foo 2147483648 0", "views_out_of_range"),
+    ("en Foo 9223372036854775808 0", "views_out_of_range"),
     ("en  101 0", "empty_title"),
 ]
 
@@ -73,7 +73,7 @@ def test_other_domain(raw):
 
 def test_master_takes_all_domains_and_signed_numbers(spark):
     lines = ["de Bar 900 7", "en Foo -5 +3", "en Foo x 0", "en Foo 1", "en Tab\tx 5 0 ",
-             "en Foo 5\t 0", "en Foo 1.5 0", "en Foo 99999999999 0"]
+             "en Foo 5\t 0", "en Foo 1.5 0", "en Foo 99999999999999999999 0"]
     raw = spark.createDataFrame([(FILE, v) for v in lines], "file_name STRING, value STRING")
     rows = quality.master_records(raw).collect()
     assert {(r.domain_code, r.page_title, r.count_views, r.total_response_size) for r in rows} == {

@@ -1,12 +1,20 @@
 import gzip
 import json
+from datetime import date
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from viewtide import jobs
 from viewtide.plans import master
-from viewtide.sinks import read_serving
-from viewtide.sources import read_top_pages, scan_lines
+from viewtide.sinks import doc_lines, read_serving, write_doc_lines
+from viewtide.sources import (
+    last_kept_names,
+    list_files,
+    read_top_pages,
+    scan_lines,
+    within_names,
+)
 
 
 @pytest.fixture
@@ -44,11 +52,12 @@ def test_from_raw_files_to_lookups(spark, year, capsys):
     assert series['en "B"']["dailyViews"] == [{"day": "20160102", "views": "140"}]
 
     jobs.main(["publish", f"{out}/documents", str(year / "serving")])
-    docs = {r.doc_id: json.loads(r.doc)
+    docs = {(r.grain, r.doc_id): json.loads(r.doc)
             for r in read_serving(spark, str(year / "serving")).collect()}
-    assert set(docs) == {"20151231", "20160101", "20160102", "20151227", "201512", "201601",
-                         "2015", "2016"}
-    assert docs["2016"]["topPages"][1]["pageId"] == 'en "B"'
+    assert set(docs) == {("day", "20151231"), ("day", "20160101"), ("day", "20160102"),
+                         ("week", "20151227"), ("month", "201512"), ("month", "201601"),
+                         ("year", "2015"), ("year", "2016")}
+    assert docs["year", "2016"]["topPages"][1]["pageId"] == 'en "B"'
     report = spark.read.parquet(str(year / "serving" / "reports")).collect()
     assert sum(r.created for r in report) == 8 and sum(r.invalid for r in report) == 0
 
@@ -105,3 +114,69 @@ def test_inventory_job(spark, year):
     jobs.main(["inventory", str(year / "pages"), "https://h.example/", str(year / "files")])
     assert [r.url for r in spark.read.parquet(str(year / "files")).collect()] == [
         "https://h.example/2016/pageviews-2016.gz"]
+
+
+def test_every_line_is_accounted_for(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "pageviews-20160703-110000.gz").write_bytes(gzip.compress("\n".join([
+        "en A 1 9999999999", "en B 3000000000 0", "en C x 0", "en D 1", "de E -5 0",
+        "en F 99999999999999999999 0", "en G 1 y", "en H 1 99999999999999999999"]).encode()))
+    account = master.load_master(scan_lines(spark, str(folder)), str(tmp_path / "out")).first()
+    assert (account.records, account.good_records, account.bad_records) == (8, 3, 5)
+    assert (account.field_count, account.noninteger_views, account.views_out_of_range,
+            account.noninteger_size, account.size_out_of_range) == (1, 1, 1, 1, 1)
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.count() == account.written == 3
+    assert {r.count_views for r in stored.collect()} == {1, 3000000000, -5}
+
+
+def test_runs_can_be_repeated(spark, year):
+    source, out = str(year / "raw"), year / "again"
+    for _ in range(2):
+        jobs.main(["stages", source, str(out / "stages")])
+        jobs.main(["consolidate", source, str(out / "stamped")])
+        jobs.main(["master", source, str(out / "master")])
+    assert spark.read.text(str(out / "stamped")).count() == 20
+    assert spark.read.parquet(str(out / "master")).count() == 20
+    assert "20151231en Small\t100" in {
+        r.value for r in spark.read.text(str(out / "stages" / "daily")).collect()}
+
+
+def test_scopes_are_honoured_or_refused(spark, year, capsys):
+    source, out = str(year / "raw"), str(year / "scoped")
+    with pytest.raises(ValueError, match="year"):
+        jobs.main(["trends", source, out, "--start-month", "1"])
+    with pytest.raises((FileNotFoundError, AnalysisException)):
+        jobs.main(["trends", source, out, "--year", "2016", "--start-month", "3"])
+    jobs.main(["trends", source, out, "--year", "2016", "--end-month", "1", "--grains", "day",
+               "--no-threshold"])
+    full = spark.read.parquet(f"{out}/daily").count()
+    assert full == 5  # both days, three pages at most
+    for option in (["--sample"], ["--files-per-month", "1"]):
+        with pytest.raises(ValueError, match="output of its own"):
+            jobs.main(["trends", source, out, *option])
+    assert spark.read.parquet(f"{out}/daily").count() == full
+
+
+def test_kept_files_are_a_test_inside_the_scan(spark, year):
+    source = str(year / "raw")
+    files = list_files(spark, source)
+    last = last_kept_names(files, 1)
+    assert last == {"201512": "pageviews-20151231-110000.gz",
+                    "201601": "pageviews-20160101-110000.gz"}
+    kept = scan_lines(spark, source, where=within_names(last), recursive=True)
+    assert {r.file_name for r in kept.collect()} == set(last.values())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_sunday_and_week_are_both_served(spark, tmp_path):
+    day = spark.createDataFrame([("20160703", '{"a":1}', date(2016, 7, 3))],
+                                "doc_id STRING, doc STRING, interval_start DATE")
+    for grain in ("day", "week"):
+        write_doc_lines(doc_lines(day, grain), str(tmp_path / "documents"))
+    jobs.main(["publish", str(tmp_path / "documents"), str(tmp_path / "serving")])
+    served = read_serving(spark, str(tmp_path / "serving")).collect()
+    assert sorted((r.grain, r.doc_id) for r in served) == [
+        ("day", "20160703"), ("week", "20160703")]

@@ -46,3 +46,13 @@ def test_partition_count_does_not_matter(facts, set_conf, partitions):
     found = {(str(r.day), r.page_title): r.views
              for r in rollup.daily_views(facts(*rows)).collect()}
     assert found == expected
+
+
+def test_facts_must_nest_in_the_grain(spark, facts):
+    import pytest
+    weekly = rollup.weekly_views(facts(("2015-12-27", "A", 1)))
+    for grain in ("month", "year"):
+        with pytest.raises(ValueError, match="nest"):
+            rollup.rollup(weekly, grain, "week")
+    with pytest.raises(ValueError, match="nest"):
+        rollup.rollup(weekly, "week", "month")

@@ -24,6 +24,10 @@ EMPTY_TITLE = "empty_title"
 REASONS = (DOMAIN_REASON, HYPHEN, TAB, FIELDS, NONINTEGER, RANGE, EMPTY_TITLE)
 # Rejects that are expected in every file and are not reported line by line.
 SILENT_REASONS = (DOMAIN_REASON, HYPHEN)
+# Reject reasons of typed records, in the order they are tried.
+SIZE = "noninteger_size"
+SIZE_RANGE = "size_out_of_range"
+RECORD_REASONS = (FIELDS, NONINTEGER, RANGE, SIZE, SIZE_RANGE)
 
 
 def line_fields(value: Column) -> Column:
@@ -50,12 +54,17 @@ def has_wrong_arity(fields: Column) -> Column:
 
 
 def is_digits(text: Column) -> Column:
-    return F.coalesce(text.rlike("^[0-9]+$"), F.lit(False))
+    return F.coalesce(text.rlike(r"\A[0-9]+\z"), F.lit(False))
 
 
-def as_int(text: Column) -> Column:
-    """INT value of an optionally signed decimal number, else null."""
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+def is_whole_number(text: Column) -> Column:
+    """Whether the text is an optionally signed decimal number."""
+    return F.coalesce(text.rlike(r"\A[+-]?[0-9]+\z"), F.lit(False))
+
+
+def as_long(text: Column) -> Column:
+    """BIGINT value of an optionally signed decimal number, else null."""
+    return F.when(is_whole_number(text), text.try_cast("bigint"))
 
 
 def field(fields: Column, position: int) -> Column:
@@ -76,6 +85,18 @@ def reject_reason(value: Column, fields: Column, domain: str = DOMAIN) -> Column
         .when(has_tab(value), TAB)
         .when(has_wrong_arity(fields), FIELDS)
         .when(~is_digits(views), NONINTEGER)
-        .when(views.try_cast("int").isNull(), RANGE)
+        .when(views.try_cast("bigint").isNull(), RANGE)
         .when(field(fields, 2) == "", EMPTY_TITLE)
     )
+
+
+def record_reject_reason(fields: Column) -> Column:
+    """Why a line of any domain is no typed record, null if it is one."""
+    views, size = field(fields, 3), field(fields, 4)
+    return (
+        F.when(has_wrong_arity(fields), FIELDS)
+        .when(~is_whole_number(views), NONINTEGER)
+        .when(as_long(views).isNull(), RANGE)
+        .when(~is_whole_number(size), SIZE)
+        .when(as_long(size).isNull(), SIZE_RANGE)
+    )

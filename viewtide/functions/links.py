@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from viewtide.params import DATA_FILE_LINK, DIRECTORY_LINK
 
 # HTML syntax the link search depends on.
-_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style|textarea|title)\b.*?</\1\s*>"
-_ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b.*?</\1\s*>"
+# Whole attributes before the href, values in quotes included, so that neither a
+# ``>`` nor an ``href=`` inside another attribute counts.
+_ATTRIBUTE = r"""(?:[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?|[/"'=])"""
+_ANCHOR_HREF = (r"(?is)<a(?:\s++|/)(?:(?!href\s*=)" + _ATTRIBUTE + r"\s*+)*+"
+                r"""href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""")
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);"
 
 
 def anchor_hrefs(html: Column) -> Column:
@@ -21,10 +26,26 @@ def anchor_hrefs(html: Column) -> Column:
 
 
 def _attribute_text(raw: Column) -> Column:
+    """An attribute value without quotes, character references decoded once."""
     text = F.regexp_replace(raw, "^[\"']|[\"']$", "")
-    for entity, character in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    decoded = F.zip_with(
+        F.split(text, _REFERENCE, -1), found,
+        lambda piece, reference: F.concat(
+            piece, F.when(reference.isNull(), "").otherwise(_character(reference))))
+    return F.when(F.size(found) == 0, text).otherwise(F.array_join(decoded, ""))
+
+
+def _character(reference: Column) -> Column:
+    body = F.regexp_replace(reference, "[&#;]", "")
+    code = F.when(body.rlike("^[xX]"), F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(
+        body).try_cast("bigint")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    result = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(
+        "\ufffd")
+    for name, character in _NAMED.items():
+        result = F.when(reference == name, character).otherwise(result)
+    return result
 
 
 def is_directory_link(href: Column, pattern: str = DIRECTORY_LINK) -> Column:

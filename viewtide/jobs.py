@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,29 +22,51 @@ from viewtide.params import (
 )
 from viewtide.plans import master, publish, stages, trends
 from viewtide.sources import (
-    files_limit,
-    keep_files,
+    last_kept_names,
     list_files,
     read_top_pages,
     scan_lines,
     scope_paths,
+    within_names,
 )
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace, positions: bool = False) -> DataFrame:
-    """Lines of the chosen scope: years and months, sample, or first files."""
+    """Lines of the chosen scope: years and months, sample, or first files.
+
+    Without a year all files below the source are read, however deep.
+    """
     source = args.source
     if args.year is not None:
         source = scope_paths(args.source, args.year, args.start_month, args.end_month)
+    elif args.start_month is not None or args.end_month is not None:
+        raise ValueError("months need a year")
+    files = list_files(spark, source)
+    if files.isEmpty():
+        raise FileNotFoundError(f"no file in the scope of {args.source}")
     # A test on the file name inside the scan skips the other files.
-    sample = F.col("_metadata.file_name").isin(*SAMPLE_FILES) if args.sample else None
-    raw = scan_lines(spark, source, where=sample, positions=positions)
+    where = F.col("_metadata.file_name").isin(*SAMPLE_FILES) if args.sample else None
     if args.files_per_month:
-        raw = keep_files(raw, files_limit(list_files(spark, source), args.files_per_month))
-    return raw
+        kept = within_names(last_kept_names(files, args.files_per_month))
+        where = kept if where is None else where & kept
+    return scan_lines(spark, source, where=where, positions=positions, recursive=True)
+
+
+def _refuse_partial(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Some files of a month must not replace a whole month."""
+    if not (args.sample or args.files_per_month):
+        return
+    try:
+        spark.read.parquet(f"{args.output}/daily")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    raise ValueError(f"{args.output} has results; give a sampled run an output of its own")
 
 
 def _trends(spark: SparkSession, args: argparse.Namespace) -> None:
+    _refuse_partial(spark, args)
     options = trends.TrendOptions(
         domain=args.domain, min_views=None if args.no_threshold else args.min_views,
         top_n=args.top_n, collapse_ties=args.collapse_ties, grains=tuple(args.grains))
@@ -61,7 +84,9 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _lookup(spark: SparkSession, args: argparse.Namespace) -> None:
     lists = read_top_pages(spark, args.table)
-    top_pages_for(lists, args.grain, args.interval).orderBy("rank").show(args.rows, False)
+    found = top_pages_for(lists, args.grain, args.interval).orderBy("rank")
+    # One list: as many rows as it was built with.
+    found.show(found.count() if args.rows is None else args.rows, False)
 
 
 def _master(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -115,7 +140,7 @@ def parser() -> argparse.ArgumentParser:
             "--limit", type=int, default=0, help="accepted records per file, 0 for all")
     job("publish", _publish, "source", "serving")
     sub = job("lookup", _lookup, "table", "grain", "interval")
-    sub.add_argument("--rows", type=int, default=TOP_N)
+    sub.add_argument("--rows", type=int, help="the whole list by default")
     sub = job("inventory", _inventory, "pages", "start_url", "output")
     sub.add_argument("--directory-link", default=DIRECTORY_LINK)
     sub.add_argument("--file-link", default=DATA_FILE_LINK)

@@ -32,14 +32,16 @@ def list_data_files(pages: DataFrame, start_url: str, directory: str = DIRECTORY
     searched once; pages keep their directory and file links as arrays (one row
     per page, so a page with very many links is not a hot join key) in the
     checkpoint folder. Then one semi join per directory level, until a level is
-    empty. Urls grow with every level, so the walk ends.
+    empty. An empty link would lead back to its own page and is left out; urls grow
+    with every level, so the walk ends.
     """
     spark = pages.sparkSession
     shared_dir(spark)
     hrefs = pages.select("url", links.anchor_hrefs(F.col("html")).alias("hrefs"))
     linked = hrefs.select(
         "url",
-        F.filter("hrefs", lambda h: links.is_directory_link(h, directory)).alias("directories"),
+        F.filter("hrefs", lambda h: (h != "") & links.is_directory_link(h, directory)
+                 ).alias("directories"),
         F.filter("hrefs", lambda h: links.is_data_file_link(h, data_file)).alias("files"),
     ).filter("size(directories) + size(files) > 0").checkpoint()
 

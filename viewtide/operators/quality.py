@@ -114,8 +114,14 @@ def reject_rows(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
             .drop("fields"))
 
 
-def master_records(raw: DataFrame) -> DataFrame:
-    """Typed records of all domains: four fields, whole numbers in the last two."""
+def with_record_outcome(raw: DataFrame) -> DataFrame:
+    """Adds ``fields`` and ``reject_reason`` of typed records (null for a record)."""
+    return _with_fields(raw).withColumn(
+        "reject_reason", lines.record_reject_reason(F.col("fields")))
+
+
+def records_of(judged: DataFrame) -> DataFrame:
+    """Typed records of the lines that were judged to be records."""
     name = F.col("file_name")
     parts = F.col("fields")
     stamp = F.struct(
@@ -123,15 +129,37 @@ def master_records(raw: DataFrame) -> DataFrame:
         F.substring(name, 15, 2).cast("int").alias("month"),
         F.substring(name, 17, 2).cast("int").alias("day"),
         F.substring(name, 20, 2).cast("int").alias("hour"))
-    views, size = lines.field(parts, 3), lines.field(parts, 4)
-    return (_with_fields(raw)
-            .filter(~lines.has_wrong_arity(parts))
-            .filter(lines.as_int(views).isNotNull() & lines.as_int(size).isNotNull())
-            .select(*_others(raw, "value"), stamp.alias("hourly_timestamp"),
-                    lines.field(parts, 1).alias("domain_code"),
-                    lines.field(parts, 2).alias("page_title"),
-                    views.cast("int").alias("count_views"),
-                    size.cast("int").alias("total_response_size")))
+    return judged.filter("reject_reason IS NULL").select(
+        *_others(judged, "value", "fields", "reject_reason"), stamp.alias("hourly_timestamp"),
+        lines.field(parts, 1).alias("domain_code"),
+        lines.field(parts, 2).alias("page_title"),
+        lines.field(parts, 3).cast("bigint").alias("count_views"),
+        lines.field(parts, 4).cast("bigint").alias("total_response_size"))
+
+
+def master_records(raw: DataFrame) -> DataFrame:
+    """Typed records of all domains: four fields, whole numbers in the last two.
+
+    The numbers are BIGINT; what does not fit 64 bits is a reject of its own.
+    """
+    return records_of(with_record_outcome(raw))
+
+
+def master_reject_counts(raw: DataFrame) -> DataFrame:
+    """Lines per outcome of the record store: ``stored`` or the reject reason."""
+    outcome = F.coalesce("reject_reason", F.lit("stored")).alias("outcome")
+    return with_record_outcome(raw).groupBy(outcome).agg(F.count("*").alias("lines"))
+
+
+def record_metrics() -> list:
+    """Aggregates over judged lines that account for every one of them."""
+    reason = F.col("reject_reason")
+    domain = lines.field(F.col("fields"), 1)
+    counts = [F.count("*").alias("records"), F.count_if(reason.isNull()).alias("good_records"),
+              *[F.count_if(reason == name).alias(name) for name in lines.RECORD_REASONS]]
+    longest = F.min(F.when(~lines.has_wrong_arity(F.col("fields")), F.struct(
+        (-F.length(domain)).alias("size"), domain.alias("domain_code"))))
+    return [*counts, longest.alias("longest")]
 
 
 def stamp_lines(raw: DataFrame) -> DataFrame:

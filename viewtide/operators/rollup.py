@@ -26,21 +26,34 @@ def above(facts: DataFrame, min_views: int | None = MIN_VIEWS) -> DataFrame:
     return facts if min_views is None else facts.filter(F.col("views") > min_views)
 
 
-def rollup(facts: DataFrame, grain: str) -> DataFrame:
-    """Views per interval of the grain and page, from any finer facts."""
+# Grains that whole intervals of a grain nest in. A week may straddle months and years.
+_NESTS_IN = {"day": ("day", "week", "month", "year"), "week": ("week",),
+             "month": ("month", "year"), "year": ("year",)}
+
+
+def rollup(facts: DataFrame, grain: str, source: str | None = None) -> DataFrame:
+    """Views per interval of the grain and page, from finer facts.
+
+    ``source`` is the grain of the facts, by default day where there is a
+    ``day`` column. Facts whose intervals do not nest in the grain are refused:
+    a week belongs to no single month.
+    """
+    source = source or ("day" if "day" in facts.columns else None)
+    if source is not None and grain not in _NESTS_IN[source]:
+        raise ValueError(f"{source} facts do not nest in {grain} intervals")
     finer = "day" if "day" in facts.columns else "interval_start"
     start = interval_start(F.col(finer), grain).alias("interval_start")
     return facts.groupBy(start, *PAGE).agg(F.sum("views").alias("views"))
 
 
 def weekly_views(daily: DataFrame) -> DataFrame:
-    return rollup(daily, "week")
+    return rollup(daily, "week", "day")
 
 
 def monthly_views(daily: DataFrame) -> DataFrame:
-    return rollup(daily, "month")
+    return rollup(daily, "month", "day")
 
 
 def yearly_views(monthly: DataFrame) -> DataFrame:
     """Month rows summed by year, before any month threshold."""
-    return rollup(monthly, "year")
+    return rollup(monthly, "year", "month")

@@ -2,24 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from viewtide.functions.lines import RECORD_REASONS
 from viewtide.operators import quality
 from viewtide.sinks import write_master, write_stamped_lines
 from viewtide.sources import limit_per_file
 
+ACCOUNT = ("files BIGINT, records BIGINT, good_records BIGINT, bad_records BIGINT, "
+           "max_domain_length INT, max_domain_example STRING, "
+           + ", ".join(f"{reason} BIGINT" for reason in RECORD_REASONS) + ", written BIGINT")
+
+
+def _account(raw: DataFrame, judged: Observation, written: Observation) -> DataFrame:
+    """One row on a load: good and bad records add up to all lines.
+
+    The counts were taken while the load was written, so the text is read once.
+    ``files`` are the files in the scope of the load; ``written`` differs from
+    ``good_records`` only by a limit.
+    """
+    found = judged.get
+    longest = found["longest"]
+    files = len(set(raw.inputFiles())) or raw.select("file_name").distinct().count()
+    row = (files, found["records"], found["good_records"],
+           found["records"] - found["good_records"],
+           None if longest is None else -longest["size"],
+           None if longest is None else longest["domain_code"],
+           *[found[reason] for reason in RECORD_REASONS], written.get["written"])
+    return raw.sparkSession.createDataFrame([row], ACCOUNT)
+
 
 def load_master(raw: DataFrame, path: str, limit: int = 0) -> DataFrame:
-    """Writes the typed records of all domains; returns the load profile.
+    """Writes the typed records of all domains; returns the account of the load.
 
     A ``limit`` of accepted records per file needs lines scanned with positions.
     """
-    records = limit_per_file(quality.master_records(raw), limit)
-    write_master(records.drop("block_start", "line_id"), path)
-    return quality.load_profile(raw)
+    judged, written = Observation("judged"), Observation("written")
+    lines = quality.with_record_outcome(raw).observe(judged, *quality.record_metrics())
+    records = limit_per_file(quality.records_of(lines), limit)
+    write_master(records.drop("block_start", "line_id").observe(
+        written, F.count("*").alias("written")), path)
+    return _account(raw, judged, written)
 
 
 def consolidate(raw: DataFrame, path: str, limit: int = 0) -> DataFrame:
-    """Writes hour-stamped lines of all files; returns the load profile."""
-    write_stamped_lines(limit_per_file(quality.stamp_lines(raw), limit), path)
-    return quality.load_profile(raw)
+    """Writes hour-stamped lines of all files; returns the account of the load.
+
+    Lines of four fields are written whatever their numbers; the account still
+    tells which of them are no typed records.
+    """
+    judged, written = Observation("judged"), Observation("written")
+    seen = quality.with_record_outcome(raw).observe(judged, *quality.record_metrics()).select(
+        *raw.columns)
+    write_stamped_lines(limit_per_file(quality.stamp_lines(seen), limit).observe(
+        written, F.count("*").alias("written")), path)
+    return _account(raw, judged, written)

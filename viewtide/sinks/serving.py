@@ -17,13 +17,20 @@ from viewtide.operators.documents import with_validity
 
 _LOAD_ORDER = ("file_path", "block_start", "line_id")
 _VERSION_SCHEMA = "version INT"
-_DOC_SCHEMA = "doc_id STRING, doc STRING"
+_DOC_SCHEMA = "grain STRING, doc_id STRING, doc STRING"
+# A weekly and a daily document may have the same id: the grain is part of the key.
+KEY = ("grain", "doc_id")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents without a grain form one of their own, ''."""
+    return docs if "grain" in docs.columns else docs.withColumn("grain", F.lit(""))
 
 
 def latest_docs(incoming: DataFrame) -> DataFrame:
-    """The last document of every id in load order: ``doc_id, doc``."""
-    last = F.max(F.struct(*_LOAD_ORDER, "doc")).alias("last")
-    return incoming.groupBy("doc_id").agg(last).select("doc_id", F.col("last.doc").alias("doc"))
+    """The last document of every key in load order: ``grain, doc_id, doc``."""
+    last = F.max_by("doc", F.struct(*_LOAD_ORDER)).alias("doc")
+    return _keyed(incoming).groupBy(*KEY).agg(last)
 
 
 def upsert_docs(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
@@ -31,7 +38,7 @@ def upsert_docs(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     latest = latest_docs(incoming)
     if existing is None:
         return latest
-    kept = existing.select("doc_id", "doc").join(latest, "doc_id", "left_anti")
+    kept = _keyed(existing).select(*KEY, "doc").join(latest, list(KEY), "left_anti")
     return kept.unionByName(latest)
 
 
@@ -52,7 +59,7 @@ def publish_docs(incoming: DataFrame, path: str) -> None:
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of the current version: ``doc_id, doc``."""
+    """Documents of the current version: ``grain, doc_id, doc``."""
     current = _current_version(spark, path)
     if current is None:
         raise FileNotFoundError(f"nothing published at {path}")
@@ -82,16 +89,16 @@ def load_report(lines: DataFrame, existing: DataFrame | None = None,
     loaded document has it. ``by`` may name other columns that follow from the
     file path.
     """
-    judged = with_validity(lines).withColumn("blank", F.col("value") == "")
+    judged = with_validity(_keyed(lines)).withColumn("blank", F.col("value") == "")
     loaded = ~F.col("blank") & F.col("valid")
     counts = judged.groupBy(*by).agg(
         F.count("*").alias("lines"), F.count_if("blank").alias("blank"),
         F.count_if(~F.col("blank") & ~F.col("valid")).alias("invalid"),
         F.count_if(loaded).alias("loaded"))
-    first = (judged.filter(loaded).groupBy("doc_id")
+    first = (judged.filter(loaded).groupBy(*KEY)
              .agg(F.min(F.struct(*_LOAD_ORDER, F.struct(*by).alias("file"))).alias("first")))
     if existing is not None:
-        first = first.join(existing.select("doc_id"), "doc_id", "left_anti")
+        first = first.join(_keyed(existing).select(*KEY), list(KEY), "left_anti")
     created = (first.groupBy(*[F.col(f"first.file.{name}").alias(name) for name in by])
                .agg(F.count("*").alias("created")))
     made = F.coalesce("created", F.lit(0))

@@ -24,18 +24,21 @@ def write_doc_lines(lines: DataFrame, path: str) -> None:
 
 
 def export_compressed(lines: DataFrame, path: str) -> None:
-    """Gzip copy of text lines for transfer."""
-    lines.select("value").write.option("compression", "gzip").text(path)
+    """Gzip copy of text lines for transfer; an earlier copy is replaced."""
+    lines.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def write_stage_kv(facts: DataFrame, path: str, grain: str) -> None:
-    """Facts as ``label+domain title<TAB>views`` text."""
+    """Facts as ``label+domain title<TAB>views`` text; an earlier run is replaced."""
     start = "day" if "day" in facts.columns else "interval_start"
     key = fields.stage_key(fields.interval_label(F.col(start), grain),
                            F.col("domain_code"), F.col("page_title"))
-    facts.select(F.concat_ws("\t", key, F.col("views")).alias("value")).write.text(path)
+    facts.select(F.concat_ws("\t", key, F.col("views")).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_stamped_lines(stamped: DataFrame, path: str) -> None:
-    """Hour-stamped lines of all files as one text set, without a shuffle."""
-    stamped.select("value").write.text(path)
+    """Hour-stamped lines of all files as one text set, without a shuffle.
+
+    An earlier run is replaced.
+    """
+    stamped.select("value").write.mode("overwrite").text(path)

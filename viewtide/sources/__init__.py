@@ -2,12 +2,14 @@
 from viewtide.sources.hourly import (
     files_limit,
     keep_files,
+    last_kept_names,
     limit_per_file,
     list_files,
     load_scope,
     sample_files,
     scan_lines,
     scope_paths,
+    within_names,
 )
 from viewtide.sources.stored import (
     read_daily,
@@ -18,7 +20,7 @@ from viewtide.sources.stored import (
 )
 
 __all__ = [
-    "files_limit", "keep_files", "limit_per_file", "list_files", "load_scope", "sample_files",
+    "files_limit", "keep_files", "last_kept_names", "within_names", "limit_per_file", "list_files", "load_scope", "sample_files",
     "scan_lines", "scope_paths", "read_daily", "read_doc_lines", "read_master", "read_stage_kv",
     "read_top_pages",
 ]

@@ -40,18 +40,31 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str], where: Column | N
 def scope_paths(base: str, year: int, start_month: int | None = None,
                 end_month: int | None = None) -> list[str]:
     """Folders ``base/YYYY/*`` or ``base/YYYY/MM`` of a year, month or range."""
-    if start_month is None:
+    months = month_range(start_month, end_month)
+    if months is None:
         return [f"{base}/{year}/*"]
-    months = range(start_month, (end_month or start_month) + 1)
     return [f"{base}/{year}/{month:02d}" for month in months]
 
 
+def month_range(start_month: int | None, end_month: int | None) -> range | None:
+    """Months of a scope, None for all: a start alone is one month, an end alone
+    means all months up to it."""
+    if start_month is None and end_month is None:
+        return None
+    first = 1 if start_month is None else start_month
+    last = first if end_month is None else end_month
+    if not 1 <= first <= last <= 12:
+        raise ValueError(f"no months from {first} to {last}")
+    return range(first, last + 1)
+
+
 def load_scope(table: DataFrame, year: int, start_month: int | None = None,
                end_month: int | None = None) -> DataFrame:
     """Rows of a year, month or month range of a table partitioned by both."""
     scope = F.col("year") == year
-    if start_month is not None:
-        scope &= F.col("month").between(start_month, end_month or start_month)
+    months = month_range(start_month, end_month)
+    if months is not None:
+        scope &= F.col("month").between(months[0], months[-1])
     return table.filter(scope)
 
 
@@ -86,6 +99,23 @@ def keep_files(lines: DataFrame, files: DataFrame) -> DataFrame:
     return lines.join(files.select("file_name"), "file_name", "left_semi")
 
 
+def last_kept_names(files: DataFrame, n: int) -> dict[str, str]:
+    """Per month the last of its first ``n`` file names: one entry a month."""
+    kept = files_limit(files, n)
+    rows = (kept.groupBy(fields.file_month(F.col("file_name")).alias("month"))
+            .agg(F.max("file_name").alias("name")).collect())
+    return {row["month"]: row["name"] for row in rows}
+
+
+def within_names(last: dict[str, str]) -> Column:
+    """Test on the file name inside the scan: other files are not opened."""
+    name = F.col("_metadata.file_name")
+    test = F.lit(False)
+    for month, bound in sorted(last.items()):
+        test = test | (name.startswith(f"pageviews-{month}") & (name <= bound))
+    return test
+
+
 def sample_files(lines: DataFrame, names: Sequence[str] = SAMPLE_FILES) -> DataFrame:
     """Lines of a fixed list of files."""
     return lines.filter(F.col("file_name").isin(list(names)))

@@ -38,12 +38,13 @@ def read_stage_kv(spark: SparkSession, path: str, grain: str) -> DataFrame:
 def read_doc_lines(spark: SparkSession, path: str) -> DataFrame:
     """Document lines ``(id,json)`` below a folder, blank ones included.
 
-    Returns ``file_path``, the line position, ``value``, ``doc_id`` and
-    ``doc``. The document starts at the first ``,{``; where there is none,
+    Returns ``file_path``, ``grain`` (from a folder ``grain=``, else empty), the
+    line position, ``value``, ``doc_id`` and ``doc``. The document starts at the first ``,{``; where there is none,
     both are null. Partition folders do not become columns.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
+        F.regexp_extract("_metadata.file_path", "/grain=([^/]+)/", 1).alias("grain"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"), "value")
     cut = F.instr("value", ",{")
@@ -54,10 +55,6 @@ def read_doc_lines(spark: SparkSession, path: str) -> DataFrame:
         F.when(cut > 0, F.substring("value", cut + F.lit(1), inner)).alias("doc"))
 
 
-def not_blank(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("value") != "")
-
-
 def read_master(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
     """Typed master records; with ``limit``, the first ones in a fixed order."""
     records = spark.read.parquet(path)
