@@ -74,20 +74,30 @@ def propagate(state: DataFrame, total: int, shards: int = SHARDS,
         room = [max(0.0, capacity - load) for load in _by_shard(state, "shard", shards)]
         votes = state.groupBy(*TEXT, "shard").agg(F.sum("n").alias("votes"))
         # A shard with hardly any room is no target, or the group would wait for it.
-        open_ = _pick([space > 0.02 * capacity for space in room], "shard")
-        best = votes.filter(open_).groupBy(*TEXT).agg(F.max(F.struct(
-            "votes", F.xxhash64(*TEXT, "shard").alias("tie"), "shard")).alias("best"))
-        own = state.join(votes, [*TEXT, "shard"]).join(best, list(TEXT), "left")
+        roomy = [shard for shard, space in enumerate(room) if space > 0.02 * capacity]
+        best = votes.groupBy(*TEXT).agg(F.count("*").alias("spread"), F.max(F.when(
+            F.col("shard").isin(roomy), F.struct(
+                "votes", F.xxhash64(*TEXT, "shard").alias("tie"), "shard"))).alias("best"))
+        own = state.join(votes, [*TEXT, "shard"]).join(best, list(TEXT))
+        small = F.col("group_size") <= 0.02 * capacity
+        # Of equal shards one is drawn, but never a full one before an open one.
+        tie = F.when(F.col("shard").isin(roomy), F.xxhash64(*TEXT, "shard")).otherwise(
+            F.lit(-(1 << 63)))
         wants = (F.col("shard") != F.col("best.shard")) & (
-            F.struct("votes", F.xxhash64(*TEXT, "shard")) < F.struct("best.votes", "best.tie"))
-        asked = stored(own.select(
-            *state.columns, F.when(wants, F.col("best.shard")).alias("target")), "requests")
+            F.struct("votes", tie.alias("tie")) < F.struct("best.votes", "best.tie"))
+        target = F.when(wants, F.col("best.shard"))
+        if roomy:
+            # A small group that is cut over full shards meets in a third one.
+            stuck = small & F.col("best").isNull() & (F.col("spread") > 1)
+            target = target.when(stuck, F.element_at(
+                F.array(*map(F.lit, roomy)),
+                F.pmod(F.xxhash64(*TEXT), F.lit(len(roomy))).cast("int") + 1))
+        asked = stored(own.select(*state.columns, target.cast("int").alias("target")), "requests")
         demand = _by_shard(asked.filter("target IS NOT NULL"), "target", shards)
         if not any(demand):
             break
         admitted = _pick([min(PARTS, int(PARTS * space / max(1, want)))
                           for space, want in zip(room, demand, strict=True)], "target")
-        small = F.col("group_size") <= 0.02 * capacity
         draw = F.pmod(F.xxhash64(*TEXT, F.when(~small, F.col("start")), F.lit(round_)),
                       F.lit(PARTS))
         state = stored(asked.select(
