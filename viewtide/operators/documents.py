@@ -46,7 +46,9 @@ def unnest_top_page_ids(docs: DataFrame) -> DataFrame:
 
 
 def with_validity(docs: DataFrame) -> DataFrame:
-    """Adds ``valid``: whether the document parses as JSON."""
+    """Adds ``valid``: whether the document parses as JSON. Judged lines stay as they are."""
+    if "valid" in docs.columns:
+        return docs
     return docs.withColumn("valid", F.expr("try_parse_json(doc) IS NOT NULL"))
 
 
