@@ -39,7 +39,7 @@ _DATE = (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _CARD = r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])"
 _PHONE = (r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
-          r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+          r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?!\w)"
           r"|(?<![\w(+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?![\w-])")
 _SECRET = (r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)"
            r"|(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api_?key))"
