@@ -27,7 +27,7 @@ documents every byte is equally likely.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -40,7 +40,12 @@ from viewtide.storage import scratch_path
 
 ORDER = 5
 FOLDS = 10
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 32 << 20
+# Bytes whose grams are sorted at a time.
+SORTED_BYTES = 4 << 20
+# Code lengths of so many byte strings (16 bytes each) go to every task as they
+# are; more of them are joined by shuffling both sides.
+BROADCAST_GRAMS = 1_000_000
 SMOOTHING = 0.1
 
 # Bytes that no UTF-8 text holds: before the start, and the end of a document.
@@ -52,7 +57,7 @@ SHORT = 2  # bytes of the contexts that every task gets
 _UPPER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 _SPACES = dict.fromkeys((9, 10, 11, 12, 13), " ")
 
-CHUNKS = ("chunk STRING, doc_id LONG, held_out BOOLEAN, tokens STRING, word STRING, "
+CHUNKS = ("chunk LONG, doc_id LONG, held_out BOOLEAN, tokens STRING, word STRING, "
           "gram LONG, n LONG")
 SCORES = ("doc_id LONG, held_out BOOLEAN, n_tokens LONG, n_known LONG, train_tokens LONG, "
           "base_score DOUBLE, score DOUBLE")
@@ -80,6 +85,26 @@ def grams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]
     return packed[(packed & 255) != START], np.array([len(text) + 1 for text in coded], np.int64)
 
 
+def counted_grams(texts: Iterable[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Different grams of texts and their numbers, a few megabytes at a time."""
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(block: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found, number = np.unique(grams(block, order)[0], return_counts=True)
+        merged, back = np.unique(np.concatenate([keys, found]), return_inverse=True)
+        return merged, np.bincount(
+            back, np.concatenate([counts, number]), len(merged)).astype(np.int64)
+
+    block, size = [], 0
+    for text in texts:
+        block.append(text)
+        size += len(text)
+        if size >= SORTED_BYTES:
+            keys, counts = add(block)
+            block, size = [], 0
+    return add(block) if block else (keys, counts)
+
+
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, order: int = ORDER,
             folds: int = FOLDS) -> DataFrame:
     """Documents in chunks, and the words and grams that each chunk uses.
@@ -93,7 +118,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, order: int = ORDER,
 
         def closed() -> Iterator[pd.DataFrame]:
             nonlocal number, size
-            chunk = f"{task}-{number}"
+            chunk = (task << 24) + number
             rows = pd.concat(held)
             held.clear()
             number, size = number + 1, 0
@@ -108,8 +133,8 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, order: int = ORDER,
                 for word in text.split(" ") if text else ():
                     counts.setdefault(word, 0)
             yield _uses(chunk, word=list(counts), n=list(counts.values()))
-            seen, number_of = np.unique(grams(list(train), order)[0], return_counts=True)
-            other = np.unique(grams(list(rows.loc[rows["held_out"], "tokens"]), order)[0])
+            seen, number_of = counted_grams(train, order)
+            other, _ = counted_grams(rows.loc[rows["held_out"], "tokens"], order)
             other = np.setdiff1d(other, seen, assume_unique=True)
             yield _uses(chunk, gram=np.concatenate([seen, other]),
                         n=np.concatenate([number_of, np.zeros(len(other), np.int64)]))
@@ -255,9 +280,9 @@ def _values(sums: DataFrame, order: int = ORDER) -> DataFrame:
 def _score(documents: pd.DataFrame, used: pd.DataFrame, order: int, train_tokens: int,
            vocabulary: int, smoothing: float) -> pd.DataFrame:
     """Scores of the documents of one chunk."""
-    words = used[used["word"].notna()]
+    words = used[used["gram"] < 0]
     counts = dict(zip(words["word"], words["value"].astype(np.int64), strict=True))
-    coded = used[used["gram"].notna()].sort_values("gram")
+    coded = used[used["gram"] >= 0].sort_values("gram")
     keys, values = coded["gram"].to_numpy("i8"), coded["value"].to_numpy(float)
     whole = train_tokens + smoothing * (vocabulary + 1)
     rows = []
@@ -291,11 +316,11 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = FOLDS,
     values = kept(_values(sums, order), "values")
     total = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"),
                       F.count_if(F.col("count") > 0).alias("kinds")).first()
+    few = F.broadcast(values) if values.count() <= BROADCAST_GRAMS else values
     used = used_words.join(words, "word").select(
-        "chunk", "word", F.lit(None).cast("long").alias("gram"),
+        "chunk", "word", F.lit(-1).cast("long").alias("gram"),
         F.col("count").cast("double").alias("value")).unionByName(
-        used_grams.join(values, "gram").select(
-            "chunk", F.lit(None).cast("string").alias("word"), "gram", "value"))
+        used_grams.join(few, "gram").select("chunk", F.lit("").alias("word"), "gram", "value"))
     scored = partial(_score, order=order, train_tokens=total["tokens"], vocabulary=total["kinds"],
                      smoothing=smoothing)
 
