@@ -40,7 +40,7 @@ from viewtide.storage import scratch_path
 
 ORDER = 5
 FOLDS = 10
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 # Bytes whose grams are sorted at a time.
 SORTED_BYTES = 4 << 20
 # Code lengths of so many byte strings (16 bytes each) go to every task as they
