@@ -45,16 +45,12 @@ CROWD = 64
 BLOCK = 512
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one whole text as a signed 64-bit integer.
-
-    Bit sums are taken over slices of the shingles, so a long text needs no
-    more memory than its words and hashes.
-    """
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all shingles of one whole text, in order; none for a wordless text."""
     import xxhash
     words = _WORD.findall(text.translate(_UPPER)) if text else []
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = " ".join(words).encode()
     sizes = np.fromiter((len(word.encode()) for word in words), np.int64, len(words))
     if len(joined) == len(words) - 1 + sum(map(len, words)):
@@ -63,8 +59,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     last = ends[min(shingle, len(words)) - 1:]
     first = np.concatenate([[0], ends[:-1] + 1])[:len(last)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in
-                          zip(first.tolist(), last.tolist(), strict=True)), np.uint64, len(last))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in
+                        zip(first.tolist(), last.tolist(), strict=True)), np.uint64, len(last))
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one whole text as a signed 64-bit integer.
+
+    Bit sums are taken over slices of the shingles, so a long text needs no
+    more memory than its words and hashes.
+    """
+    hashes = shingle_hashes(text, shingle)
     total = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):
         octets = hashes[at:at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -209,7 +214,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     A missing id comes last. Of several texts under that id the one of smallest
     hash stays, and of equal rows one. Columns stay as they are.
     """
-    rows = _grouped(docs, shingle, radius, crowd, block)
+    return keep_first(docs, _grouped(docs, shingle, radius, crowd, block))
+
+
+def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The document of the smallest id of every component; ``rows`` has
+    ``doc_id, text_hash, component`` of all documents."""
     texts = rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = texts.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "n")).alias("first"))
