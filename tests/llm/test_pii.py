@@ -107,3 +107,12 @@ def test_awkward_rows(awkward, clashing):
     assert made.columns == wide.columns
     assert sorted(map(str, made.collect())) == sorted(map(str, wide.collect()))
     assert pii.pseudonymize(wide.filter("false"), "k").count() == 0
+
+
+@pytest.mark.parametrize("value", ["ES9121000418450200051332", "AT61 1904 3002 3457 3201",
+                                   "SE45 5000 0000 0583 9825 7466", "NL91ABNA0417164300"])
+def test_account_number_beside_a_word(spark, value):
+    docs = spark.createDataFrame([(f"to {value} {word}",) for word in ("BIC", "A1", "NOTE", "12")],
+                                 "text STRING")
+    for row in pii.pseudonymize(docs, "k", found="found").collect():
+        assert [f["kind"] for f in row["found"]] == ["iban"] and value not in row["text"]

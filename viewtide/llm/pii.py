@@ -31,7 +31,18 @@ WALK = 64
 
 # How the kinds look.
 _EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
-_IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+# Lengths of account numbers by country; other lengths and countries are tried after them.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = r"(?<!\w)(?:" + "|".join(
+    rf"(?:{names.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{size // 4 - 1}}}"
+    + rf"(?: ?[A-Z0-9]{{{size % 4}}})" * (size % 4 > 0) + r"(?!\w)"
+    for size, names in _IBAN_LENGTHS.items()
+) + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)"
 _DATE = (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}"
