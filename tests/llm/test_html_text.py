@@ -69,3 +69,16 @@ def test_awkward_rows(spark):
     assert rows.columns == pages.columns
     assert sorted(r["text"] for r in rows.collect()) == ["", "", "", "a"]
     assert html_text.extract_pages(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "noscript", "svg", "object", "video"])
+def test_unclosed_element_does_not_cut_the_page(tag):
+    assert html_text.extract(f"<body><{tag}>x<article><p>kept</p></article>") == "kept"
+    assert html_text.extract(f"<article><p>a</p><div><{tag}></div><p>b</p></article>") == "a\nb"
+    assert html_text.extract(f"<article><p>a<{tag}>x</{tag}>b</p></article>") == "ab"
+    assert html_text.extract(f"<body><{tag}><p>plain") == "plain"
+
+
+def test_text_of_formulas_stays():
+    page = "<article><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p></article>"
+    assert html_text.extract(page) == "a x=1 b"

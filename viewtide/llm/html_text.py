@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import cache
 from itertools import accumulate
 
 import pandas as pd
@@ -32,9 +33,11 @@ BLOCKS = frozenset(
     "li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th "
     "thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset(
-    "script style title textarea noscript template iframe svg math object select canvas "
-    "audio video button noframes noembed xmp".split())
+# Raw text runs to its closing tag, or to the end of the page. Controls and what stands
+# in for media are elements without text of the page, which an enclosing tag ends.
+RAW = frozenset("script style title textarea iframe noframes noembed xmp".split())
+CONTROLS = frozenset("button select".split())
+STANDINS = frozenset("noscript template svg object canvas audio video".split())
 DROPPED = frozenset("nav footer aside form menu dialog search".split())
 BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -107,6 +110,10 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             articles -= tag in ("article", "main")
         del open_tags[depth:]
 
+    @cache
+    def last_close(tag: str) -> int:
+        return max((m.start() for m in re.finditer(rf"</{tag}\s*>", page, re.I)), default=-1)
+
     at = 0
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -136,7 +143,12 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             if not attributes.endswith("/"):
                 at = end.end() if end else len(page)
         elif tag not in VOID and not attributes.endswith("/"):
-            boilerplate = is_boilerplate(tag, attributes, articles > 0)
+            if tag in CONTROLS or tag in STANDINS:
+                # One that is never closed ends with its parent, or else is no element.
+                boilerplate = last_close(tag) >= at or tag in CONTROLS and any(
+                    name not in ("html", "body") for name, _ in open_tags)
+            else:
+                boilerplate = is_boilerplate(tag, attributes, articles > 0)
             if tag in ("article", "main") and not boilerplate:
                 # An article ends boilerplate that was never closed, comments aside.
                 if dropped and not any(name in DROPPED for name, _ in open_tags):
