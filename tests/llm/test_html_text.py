@@ -82,3 +82,14 @@ def test_unclosed_element_does_not_cut_the_page(tag):
 def test_text_of_formulas_stays():
     page = "<article><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p></article>"
     assert html_text.extract(page) == "a x=1 b"
+
+
+def test_short_blocks_without_article():
+    long, short = "long text " * 20, "a paragraph of fifty characters, more or less, here"
+    page = "".join(f"<div><div><p>{text}</p></div></div>" for text in (long, short, long))
+    assert html_text.extract(page) == "\n".join((long.strip(), short, long.strip()))
+    rows = "".join(f"<tr><td>row {i}</td></tr>" for i in range(9))
+    page = f"<div><p>{long}</p></div><table><tbody>{rows}</tbody></table>"
+    assert html_text.extract(page).split("\n")[1:] == [f"row {i}" for i in range(9)]
+    page = f"<p>{long}</p><div class=ad>" + "<p>Buy</p>" * 4 + "</div><p>tail</p>"
+    assert html_text.extract(page) == long.strip()

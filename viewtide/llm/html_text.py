@@ -86,21 +86,27 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """Lines ``(text, weight, in_article)`` of a page; whether it has an article.
 
     Text of boilerplate elements is left out of its line, so a line inside one
-    is empty but keeps its place in the distribution.
+    is empty but keeps its place in the distribution. Elsewhere a run of empty
+    lines is one line.
     """
     lines: list[tuple[str, int, bool]] = []
     open_tags: list[tuple[str, bool]] = []  # element, whether it is boilerplate
     text: list[str] = []
     linked = 0
     dropped = links = articles = 0
-    has_article = False
+    has_article = passed = blank = False
 
     def end_line() -> None:
-        nonlocal linked
+        nonlocal linked, passed, blank
         joined = " ".join(entities.unescape("".join(text)).split())
-        lines.append((joined, max(0, len(joined) - linked), articles > 0))
+        # Between two tags without text is one gap, however the tags are nested.
+        empty = not (joined or passed or dropped)
+        if not (empty and blank):
+            lines.append((joined, max(0, len(joined) - linked), articles > 0))
+        blank = empty
         text.clear()
         linked = 0
+        passed = False
 
     def close(depth: int) -> None:
         nonlocal dropped, links, articles
@@ -122,6 +128,8 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             text.append(piece)
             if links:
                 linked += len(piece)
+        elif dropped and piece.strip():
+            passed = True
         if not found:
             break
         at = found.end()
