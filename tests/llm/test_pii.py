@@ -116,3 +116,13 @@ def test_account_number_beside_a_word(spark, value):
                                  "text STRING")
     for row in pii.pseudonymize(docs, "k", found="found").collect():
         assert [f["kind"] for f in row["found"]] == ["iban"] and value not in row["text"]
+
+
+@pytest.mark.parametrize("text", ["{} 12/27", "{} 123", "12 {}", "1234 {}", "{} 10.0.0.300",
+                                  "7 {} 99"])
+def test_card_beside_a_short_number(spark, text):
+    card = "4111 1111 1111 1111"
+    row = pii.pseudonymize(spark.createDataFrame([("to " + text.format(card),)], "text STRING"),
+                           "k", found="found").first()
+    assert [f["kind"] for f in row["found"]] == ["card"]
+    assert row["text"] == "to " + text.format(row["found"][0]["pseudonym"]) and card not in row["text"]

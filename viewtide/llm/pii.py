@@ -48,7 +48,12 @@ _IP = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)"
 _DATE = (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}"
          r"|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)")
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-_CARD = r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+# A whole run of digits; the cards are looked for inside it, at borders of its groups.
+_RUN = r"(?<![\w+-])\d(?:[ -]?\d){12,}"
+_CARD = rf"{_RUN}(?![\w-]|[./]\d)|{_RUN}(?![\w-])"
+_CARD_FORMS = (r"^\d{13,19}(?!\d)", r"^\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?!\d)",
+               r"^\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)", r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}(?!\d)")
+_CARD_SIZES = tuple(rf"^\d(?:[ -]?\d){{{size - 1}}}(?!\d)" for size in (16, 15, 14, 13, 17, 18, 19))
 _PHONE = (r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
           r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?!\w)"
           r"|(?<![\w(+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?![\w-])")
@@ -302,10 +307,65 @@ def kind_of(value: Column) -> Column:
             .when(value.rlike(rf"^(?:{_DATE})$"), F.when(
                 _date_parts(value)[0].isNotNull(), "date"))
             .when(value.rlike(rf"^(?:{_SSN})$"), F.when(_ssn_valid(digits), "ssn"))
-            .when(value.rlike(rf"^(?:{_CARD})$") & (luhn_sum(digits) % 10 == 0), "card")
+            .when(value.rlike(rf"^(?:{_CARD})$") & F.length(digits).between(13, 19)
+                  & (luhn_sum(digits) % 10 == 0), "card")
             .when(value.rlike(rf"^(?:{_PHONE})$") & F.length(digits).between(7, 15), "phone"))
 
 
+_PIECES = "array<struct<value:string,kind:string>>"
+
+
+def _piece(value: Column, kind: Column) -> Column:
+    return F.struct(value.alias("value"), kind.cast("string").alias("kind"))
+
+
+def _with_cards(run: Column, forms: tuple) -> Column:
+    """Pieces of a run of digits: valid cards of the forms, from the left, and what is between."""
+    def card_at(i: Column) -> Column:
+        rest = F.substr(run, i, F.length(run))
+        return F.get(F.filter(F.array(*[F.regexp_extract(rest, form, 0) for form in forms]),
+                              lambda c: (c != "") & (luhn_sum(_digits(c)) % 10 == 0)), F.lit(0))
+
+    def step(s: Column, i: Column) -> Column:
+        return F.element_at(F.transform(F.array(F.when(i >= s["at"], card_at(i))), lambda c: F.when(
+            c.isNull(), s).otherwise(F.struct(
+                (i + F.length(c)).cast("int").alias("at"),
+                F.concat(s["out"], F.array(
+                    _piece(F.substr(run, s["at"], i - s["at"]), F.lit(None)),
+                    _piece(c, F.lit("card")))).cast(_PIECES).alias("out")))), 1)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(run), F.lit(1))), lambda i: (
+        (i == 1) | ~F.substr(run, i - 1, F.lit(1)).rlike(r"\d")) & F.substr(run, i, F.lit(1)).rlike(r"\d"))
+    return F.aggregate(
+        starts, F.struct(F.lit(1).alias("at"), F.array().cast(_PIECES).alias("out")), step,
+        lambda s: F.concat(s["out"], F.array(_piece(
+            F.substr(run, s["at"], F.length(run)), F.lit(None)))).cast(_PIECES))
+
+
+def _with_others(run: Column) -> Column:
+    """Pieces of a run of digits: dates, numbers of persons and phones, and what is between."""
+    other = "|".join((_DATE, _SSN, _PHONE))
+    return F.flatten(F.zip_with(
+        F.split(run, other, -1), F.regexp_extract_all(run, F.lit(other), F.lit(0)),
+        lambda piece, hit: F.array(_piece(piece, F.lit(None)), _piece(
+            F.coalesce(hit, F.lit("")), kind_of(hit))))).cast(_PIECES)
+
+
+def _inside(pieces: Column, split) -> Column:
+    return F.flatten(F.transform(pieces, lambda p: F.when(
+        p["kind"].isNotNull(), F.array(p)).otherwise(split(p["value"])).cast(_PIECES)))
+
+
+def pieces_of(value: Column) -> Column:
+    """A found value as pieces with their kinds; only a failed run of digits has several."""
+    whole = F.array(_piece(value, kind_of(value))).cast(_PIECES)
+    parts = _with_cards(value, _CARD_FORMS)
+    for split in (_with_others, lambda rest: _with_cards(rest, _CARD_SIZES)):
+        parts = _inside(parts, split)
+    failed = value.rlike(rf"^(?:{_CARD})$")
+    return F.flatten(F.transform(whole, lambda p: F.when(
+        failed & p["kind"].isNull(), parts).otherwise(F.array(p)).cast(_PIECES)))
+
+
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a value of a kind; a value without kind stays."""
     made = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date,
@@ -328,16 +388,17 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text",
                                    F.regexp_extract_all(source, F.lit(ANY), F.lit(0)))
                        .alias("_pii_hits"))
     typed = hits.withColumn("_pii_hits", F.when(F.size("_pii_hits") > 0, F.transform(
-        "_pii_hits", lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind")))))
-    made = typed.withColumn("_pii_hits", F.transform("_pii_hits", lambda h: F.struct(
-        h["kind"].alias("kind"), pseudonym(h["value"], h["kind"], key).alias("pseudonym"))))
+        "_pii_hits", pieces_of)))
+    made = typed.withColumn("_pii_hits", F.transform("_pii_hits", lambda h: F.transform(
+        h, lambda p: F.struct(p["kind"].alias("kind"),
+                              pseudonym(p["value"], p["kind"], key).alias("pseudonym")))))
     replaced = F.when(F.col("_pii_hits").isNull(), source).otherwise(F.array_join(F.zip_with(
-        F.split(source, ANY, -1), F.col("_pii_hits"),
-        lambda piece, hit: F.concat(piece, F.coalesce(hit["pseudonym"], F.lit("")))), ""))
+        F.split(source, ANY, -1), F.col("_pii_hits"), lambda piece, hit: F.concat(
+            piece, F.coalesce(F.array_join(hit["pseudonym"], ""), F.lit("")))), ""))
     out = [replaced.alias(text) if name == text else F.col(f"`{name}`") for name in docs.columns]
     if found:
         out = [column for column, name in zip(out, docs.columns, strict=True) if name != found]
-        out.append(F.coalesce(F.filter("_pii_hits", lambda h: h["kind"].isNotNull()),
+        out.append(F.coalesce(F.filter(F.flatten("_pii_hits"), lambda h: h["kind"].isNotNull()),
                               F.array().cast("array<struct<kind:string,pseudonym:string>>")
                               ).alias(found))
     return made.select(*out)
