@@ -5,14 +5,14 @@ weighted similarity of ``similarity`` or more with it: the shared five-word
 shingles over all of both, each weighted by how often it occurs.
 
 The items are the bounded side. They are read in blocks of a few megabytes, and
-each block meets all documents in one pass that shuffles nothing; a larger
-benchmark means more passes. In a pass, every window that shares enough shingles
+each block meets all documents without a shuffle; all blocks stay in the plan, so the
+whole benchmark has to fit into the driver and every worker. In a pass, every window that shares enough shingles
 to reach the similarity gets a fingerprint. A multi-index over eight blocks of
-bits proposes the items whose fingerprint lies within the radius: two
+bits confirms the items whose fingerprint lies within the radius: two
 fingerprints within it differ by at most ``radius // 8`` bits in some block, so
-none is missed. Proposals are verified on the words themselves. The shingle
-count that comes first loses nothing, because a similarity implies it; it only
-spares fingerprints of windows that cannot match.
+none is missed. Confirmed items are verified on the words themselves. The shingle
+count that comes first makes the candidates, item and window; it loses nothing,
+because a similarity implies it.
 
 Words are runs of letters, digits and underscores, lower-cased. A document
 shorter than an item is one window. Items of fewer words than a shingle, null
@@ -214,8 +214,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, output: str = "matc
                       radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The table with an array of matches per document.
 
-    Each match has ``item_id, first_word, n_words, similarity``. What the driver
-    holds at a time is one block of items, about ``block_bytes`` of text.
+    Each match has ``item_id, first_word, n_words, similarity``. Items are
+    collected in blocks of about ``block_bytes`` of text; all blocks stay in the plan,
+    so the driver and every worker hold the whole benchmark.
     """
     items = benchmark.select("item_id", "text").filter(F.length("text") > 0)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
