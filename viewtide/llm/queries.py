@@ -7,7 +7,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from viewtide.llm import decontamination, html_text, packing, pii, ppm, quality, sharding, simhash, token_files, toxicity
+from viewtide.llm import (
+    decontamination,
+    html_text,
+    lexical,
+    packing,
+    pii,
+    ppm,
+    prefix_join,
+    quality,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+    whitening,
+)
 from viewtide.storage import scratch_path
 
 # Stands for the secret of a deployment; whoever holds it can undo the pseudonyms.
@@ -90,6 +104,19 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"),
+                                  _table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_label_propagation": op2_label_propagation,
@@ -101,5 +128,8 @@ QUERIES = {
     "op8_partial_matching": op8_partial_matching,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_prefix_join": op13_prefix_join,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_lexical_search": lexical.SQL, "op13_prefix_join": prefix_join.SQL}
