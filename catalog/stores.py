@@ -79,7 +79,7 @@ def overwrite_year(spark, sf_dir):
         docs = _day_docs(spark, sf_dir, n).withColumn("year", F.year("interval_start"))
         chosen = docs if year is None else docs.filter(F.col("year") == year)
         sinks.overwrite_year(chosen.drop("interval_start"), path)
-    return spark.read.parquet(path).select("doc_id", "doc")
+    return sinks.read_years(spark, path, "doc_id STRING, doc STRING")
 
 
 def export_compressed(spark, sf_dir):
@@ -131,8 +131,8 @@ def top_pages_for(spark, sf_dir):
     path = scratch_path(spark, "top_pages")
     daily = daily_above(daily_lineitem(spark, sf_dir))
     sinks.write_top_pages(ranking.tagged_lists(tops(daily, TOP)), path)
-    lists = sources.read_top_pages(spark, path).drop("interval_start")
-    first, *rest = [ranking.top_pages_for(lists, *lookup) for lookup in LOOKUPS]
+    first, *rest = [sources.read_top_list(spark, path, *lookup).drop("interval_start")
+                    for lookup in LOOKUPS]
     for found in rest:
         first = first.unionByName(found)
     return first

@@ -63,3 +63,20 @@ def test_walk_reaches_every_level_once(spark):
         spark.createDataFrame([(ROOT, '<a href="">')], "url STRING, html STRING"), ROOT,
         directory=".*").count() == 0
     assert inventory.list_data_files(pages, "https://nowhere.example.org/").count() == 0
+
+
+def test_a_walk_beyond_the_bound_is_an_error(spark):
+    pages = spark.createDataFrame(
+        [(ROOT + "2016/" * i, '<a href="2016/"><a href="pageviews-2016.gz">') for i in range(4)],
+        "url STRING, html STRING")
+    assert inventory.list_data_files(pages, ROOT, levels=4).count() == 4
+    with pytest.raises(Exception, match="more than 3 directory levels"):
+        inventory.list_data_files(pages, ROOT, levels=3).collect()
+
+
+def test_pages_that_link_to_themselves_end(spark):
+    pages = spark.createDataFrame(
+        [(ROOT, '<a href="2016/"><a href="2016/"><a href="pageviews-2016.gz">'),
+         (ROOT + "2016/", '<a href=""><a href="2016/"><a href="pageviews-2016.gz">')],
+        "url STRING, html STRING")
+    assert inventory.list_data_files(pages, ROOT, directory=".*/|").count() == 2

@@ -1,5 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
+from viewtide.functions import lines
 from viewtide.operators import quality, rollup
 
 FILE = "pageviews-20160701-110000.gz"
@@ -129,3 +132,42 @@ def test_audit_names_the_changed_field(spark):
     assert found == {1: ("both", True, False), 3: ("lost", True, True), 7: ("added", True, True)}
     summary = quality.roundtrip_summary(source, stored, ["file_name", "seq"]).first()
     assert (summary.compared, summary.damaged) == (5, 3)
+
+
+def test_a_sound_store_shuffles_no_record(spark):
+    """Only fingerprints are exchanged; the join behind them has nothing to read."""
+    rows = spark.range(3000).select(
+        F.lit("f").alias("file_name"), F.col("id").alias("seq"),
+        F.struct(F.lit(2016).alias("year")).alias("hourly_timestamp"),
+        F.lit("en").alias("domain_code"), F.concat(F.lit("P"), "id").alias("page_title"),
+        F.when(F.col("id") % 5 > 0, F.col("id")).alias("count_views"),
+        F.lit(0).alias("total_response_size"))
+    key = ["file_name", "seq"]
+    sound = quality.roundtrip_audit(rows, rows.repartition(7), key)
+    assert "Exchange" not in plan_of(sound) and sound.count() == 0
+    assert tuple(quality.roundtrip_summary(rows, rows, key).first()) == (3000, 0)
+    broken = rows.filter("seq <> 17").withColumn("count_views", F.when(
+        F.col("seq") == 10, F.lit(0)).otherwise(F.col("count_views")))
+    found = {r.seq: (r.presence, r.count_views_changed)
+             for r in quality.roundtrip_audit(rows, broken, key).collect()}
+    assert found == {17: ("lost", True), 10: ("both", True)}
+    assert tuple(quality.roundtrip_summary(rows, broken, key).first()) == (3000, 2)
+
+
+def test_differences_without_a_key(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("c", 3)], "t STRING, n INT")
+    other = spark.createDataFrame([("a", 1), ("b", None), ("c", 4), ("c", 4)], "t STRING, n INT")
+    found = {tuple(r) for r in quality.record_differences(rows, other).collect()}
+    assert found == {("a", 1, 2, 1), ("c", 3, 1, 0), ("c", 4, 0, 2)}
+    assert quality.record_differences(rows, rows).count() == 0
+
+
+@pytest.mark.parametrize(("text", "value"), [
+    ("12", 12), ("+5", 5), ("-5", -5), ("007", 7), ("", None), ("+", None), ("1.5", None),
+    ("1e3", None), ("\t12", None), ("12\t", None), (" 12", None), ("12L", None), ("1/2", None),
+    ("9223372036854775807", 2 ** 63 - 1), ("9223372036854775808", None), ("١٢", None),
+    ("\x7f12", None), ("12\x7f", None), (None, None)])
+def test_numbers_are_parsed_as_they_are_judged(spark, text, value):
+    row = spark.createDataFrame([(text,)], "t STRING").select(
+        lines.as_long(F.col("t")).alias("v"), lines.is_whole_number(F.col("t")).alias("w")).first()
+    assert row.v == value and row.w == (value is not None or text == "9223372036854775808")

@@ -6,11 +6,16 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from viewtide import jobs
-from viewtide.plans import master
+from viewtide.operators.series import page_series_docs
+from viewtide.parts import manifest
+from viewtide.plans import master, trends
 from viewtide.sinks import doc_lines, read_serving, write_doc_lines
 from viewtide.sources import (
     last_kept_names,
     list_files,
+    read_rejects,
+    read_series,
+    read_top_list,
     read_top_pages,
     scan_lines,
     within_names,
@@ -37,7 +42,7 @@ def test_from_raw_files_to_lookups(spark, year, capsys):
     for number in ("2015", "2016"):
         jobs.main(["trends", str(year / "raw"), out, "--year", number, "--storage-level", "DISK",
                    "--grains", "day", "week", "month", "year"])
-    lists = spark.read.parquet(f"{out}/top_pages")
+    lists = read_top_pages(spark, f"{out}/top_pages")
     found = {(r.grain, r.interval, r["rank"]): (r.page_title, r.views) for r in lists.collect()}
     assert found == {
         ("day", "20151231", 1): ("A", 160), ("day", "20160101", 1): ("A", 160),
@@ -47,7 +52,8 @@ def test_from_raw_files_to_lookups(spark, year, capsys):
         ("month", "201601", 2): ('"B"', 140),
         ("year", "2015", 1): ("A", 160), ("year", "2016", 1): ("A", 320),
         ("year", "2016", 2): ('"B"', 140)}
-    series = {r.doc_id: json.loads(r.doc) for r in spark.read.parquet(f"{out}/series").collect()}
+    series = {r.doc_id: json.loads(r.doc) for r in page_series_docs(
+        read_series(spark, f"{out}/series")).collect()}
     assert [p["views"] for p in series["en A"]["dailyViews"]] == ["160", "160", "160"]
     assert series['en "B"']["dailyViews"] == [{"day": "20160102", "views": "140"}]
 
@@ -99,7 +105,7 @@ def test_file_choice_and_options(spark, year):
     source = str(year / "raw" / "*" / "*")
     jobs.main(["trends", source, str(year / "first"), "--files-per-month", "1",
                "--no-threshold", "--grains", "day", "--collapse-ties"])
-    lists = spark.read.parquet(str(year / "first" / "top_pages")).collect()
+    lists = read_top_pages(spark, str(year / "first" / "top_pages")).collect()
     assert {(r.interval, r["rank"], r.page_title, r.views) for r in lists} == {
         ("20151231", 1, "A", 80), ("20151231", 2, "Small", 50),
         ("20160101", 1, "A", 80), ("20160101", 2, "Small", 50)}
@@ -180,3 +186,101 @@ def test_sunday_and_week_are_both_served(spark, tmp_path):
     served = read_serving(spark, str(tmp_path / "serving")).collect()
     assert sorted((r.grain, r.doc_id) for r in served) == [
         ("day", "20160703"), ("week", "20160703")]
+
+
+def hourly(folder, day, *lines):
+    path = folder / day[:4] / day[4:6]
+    path.mkdir(parents=True, exist_ok=True)
+    (path / f"pageviews-{day}-110000.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+
+
+@pytest.fixture
+def months(tmp_path):
+    """Three months whose days straddle weeks, with pages that come and go."""
+    source = tmp_path / "raw"
+    for day in ("20160628", "20160630", "20160701", "20160702", "20160731", "20160801"):
+        hourly(source, day, *[f"en P{i} {100 + (i * int(day[-2:])) % 97} 0" for i in range(12)],
+               f"en Only{day[4:6]} 500 0", f"en Day{day} 300 0", "en - 9 0", "de A 900 0",
+               "en x 1", "en x 1", "en T\t1 2 3", "en N one 0")
+    return tmp_path
+
+
+def everything(spark, out):
+    lists = sorted(map(tuple, read_top_pages(spark, f"{out}/top_pages").collect()))
+    series = sorted((r.page_id, tuple(map(tuple, r.daily_views)))
+                    for r in read_series(spark, f"{out}/series").collect())
+    docs = sorted((r.value, r.grain, r.year)
+                  for r in spark.read.text(f"{out}/documents").collect())
+    rejects = sorted(map(tuple, read_rejects(spark, f"{out}/rejects").collect()))
+    return lists, series, docs, rejects
+
+
+GRAINS = trends.TrendOptions(top_n=4, grains=("day", "week", "month", "year"))
+
+
+def test_monthly_loads_equal_one_load(spark, months):
+    """Months loaded one after the other, one of them again after a change, against all
+    at once."""
+    source, step = months / "raw", str(months / "step")
+    for month in ("06", "07", "08"):
+        trends.build_trends(scan_lines(spark, str(source / "2016" / month)), step, options=GRAINS)
+    hourly(source, "20160702", "en P1 900 0", "en New 800 0", "en P3 101 0", "en bad")
+    account = trends.build_trends(
+        scan_lines(spark, str(source / "2016" / "07")), step, options=GRAINS).first()
+    assert account.lines == account.kept + account.rejected
+    once = str(months / "once")
+    total = trends.build_trends(
+        scan_lines(spark, str(source / "*" / "*")), once, options=GRAINS).first()
+    assert everything(spark, step) == everything(spark, once)
+    assert total.lines == total.kept + total.rejected == 5 * 20 + 4
+    assert total.rejected == total.domain + total.hyphen_title + total.quarantined
+    assert sum(r.copies for r in read_rejects(spark, f"{once}/rejects").collect()) \
+        == total.quarantined == 5 * 4 + 1
+    trends.build_trends(scan_lines(spark, str(source / "2016" / "08")), step, options=GRAINS,
+                        rebuild=True)
+    assert everything(spark, step) == everything(spark, once)
+
+
+def test_a_load_writes_only_what_it_touches(spark, months):
+    source, out = months / "raw", str(months / "out")
+    trends.build_trends(scan_lines(spark, str(source / "*" / "*")), out, options=GRAINS)
+    before = manifest(spark, f"{out}/top_pages"), manifest(spark, f"{out}/series")
+    hourly(source, "20160801", "en P1 900 0", "en Day20160801 300 0")
+    trends.build_trends(scan_lines(spark, str(source / "2016" / "08")), out, options=GRAINS)
+    after = manifest(spark, f"{out}/top_pages"), manifest(spark, f"{out}/series")
+    written = {part for part, folder in after[0].items() if before[0].get(part) != folder}
+    # The first of August lies in the week that starts on the last of July.
+    assert written == {"day-201608", "week-201607", "month-201608", "year-2016"}
+    assert any(before[1].get(part) == folder for part, folder in after[1].items())
+    top = read_top_list(spark, f"{out}/top_pages", "day", "20160801")
+    assert {r.page_title for r in top.collect()} == {"P1", "Day20160801"}
+    assert len(top.inputFiles()) == 1
+
+
+def test_text_is_read_once(spark, months, monkeypatch):
+    """A single job scans the text: facts, rejects and counts come out of it."""
+    scans = []
+    stage = trends._stage
+    monkeypatch.setattr(trends, "_stage", lambda raw, options: scans.append(raw) or stage(
+        raw, options))
+    raw = scan_lines(spark, str(months / "raw" / "*" / "*"))
+    trends.build_trends(raw, str(months / "out"), options=GRAINS)
+    assert len(scans) == 1
+    staged, account = stage(raw.filter("value LIKE 'de %'"), GRAINS)
+    assert (account.first().lines, account.first().domain) == (6, 6)
+    assert "text" not in staged._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_audited_load(spark, year, monkeypatch):
+    raw = scan_lines(spark, str(year / "raw" / "*" / "*"))
+    sound = master.load_master(raw, str(year / "sound"), audit=True).first()
+    assert (sound.written, sound.damaged) == (20, 0)
+    assert master.load_master(raw, str(year / "plain")).first().damaged is None
+    real = master.write_master
+
+    def lossy(records, path):
+        real(records, path)
+        spark.read.parquet(path).limit(1).drop("year", "month").write.mode("append").parquet(
+            f"{path}/year=2016/month=1")
+    monkeypatch.setattr(master, "write_master", lossy)
+    assert master.load_master(raw, str(year / "lossy"), audit=True).first().damaged == 1

@@ -67,7 +67,7 @@ def test_unrecorded_version_is_invisible(spark, loaded, tmp_path):
     valid = documents.valid_json_docs(loaded)
     sinks.publish_docs(valid, path)
     spark.createDataFrame([("x", "half")], "doc_id STRING, doc STRING").write.parquet(
-        f"{path}/version-000001")
+        f"{path}/data/000001/_part=00-of-64")
     assert contents(sinks.read_serving(spark, path)) == EXPECTED
     sinks.publish_docs(valid, path)
     assert contents(sinks.read_serving(spark, path)) == EXPECTED
@@ -89,8 +89,25 @@ def test_overwrite_one_year(spark, tmp_path):
     table = spark.createDataFrame([("a", 2015), ("b", 2016), ("c", 2016)], "doc STRING, year INT")
     sinks.overwrite_year(table, path)
     sinks.overwrite_year(spark.createDataFrame([("d", 2016)], "doc STRING, year INT"), path)
-    assert {(r.doc, r.year) for r in spark.read.parquet(path).collect()} == {
+    schema = "doc STRING, year INT"
+    assert {(r.doc, r.year) for r in sinks.read_years(spark, path, schema).collect()} == {
         ("a", 2015), ("d", 2016)}
+    assert [r.doc for r in sinks.read_years(spark, path, schema, 2015).collect()] == ["a"]
+
+
+def test_failed_write_leaves_the_old_year(spark, tmp_path):
+    """A task that fails after others have written files."""
+    path, schema = str(tmp_path / "years"), "doc STRING, year INT"
+    sinks.overwrite_year(spark.createDataFrame([("a", 2015), ("b", 2016)], schema), path)
+    rows = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") == 3999, F.raise_error(F.lit("lost"))).otherwise("x").cast(
+            "string").alias("doc"), (F.col("id") % 2 + 2015).cast("int").alias("year"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.overwrite_year(rows, path)
+    kept = {(r.doc, r.year) for r in sinks.read_years(spark, path, schema).collect()}
+    assert kept == {("a", 2015), ("b", 2016)}
+    sinks.overwrite_year(spark.createDataFrame([("c", 2016)], schema), path)
+    assert {r.doc for r in sinks.read_years(spark, path, schema).collect()} == {"a", "c"}
 
 
 def test_export_is_gzip(spark, tmp_path):
@@ -99,3 +116,39 @@ def test_export_is_gzip(spark, tmp_path):
     sinks.export_compressed(lines, str(path))
     assert [p for p in path.glob("*.gz")]
     assert {r.value for r in spark.read.text(str(path)).collect()} == {"(1,{})", "(2,{})"}
+
+
+def batch(spark, ids, text):
+    return spark.createDataFrame([(str(i), text) for i in ids], "doc_id STRING, doc STRING").select(
+        "*", F.lit("day").alias("grain"), F.lit("f").alias("file_path"),
+        F.lit(0).alias("block_start"), F.lit(0).alias("line_id"))
+
+
+def test_a_load_rewrites_only_its_buckets(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    first = sinks.publish_docs(batch(spark, range(2000), "{}"), path, buckets=32)
+    assert len(first) == 32
+    files = set(sinks.read_serving(spark, path).inputFiles())
+    reader = sinks.read_serving(spark, path, version=0)
+    changed = sinks.publish_docs(batch(spark, [5, 9000], '{"new":1}'), path, buckets=7)
+    assert 1 <= len(changed) <= 2
+    now = sinks.read_serving(spark, path)
+    assert len(files & set(now.inputFiles())) == 32 - len(changed)
+    found = contents(now)
+    assert len(found) == 2001 and found["5"] == found["9000"] == '{"new":1}'
+    assert contents(reader)["5"] == "{}" and reader.count() == 2000
+    one = sinks.read_document(spark, path, "day", "9000")
+    assert one.first().doc == '{"new":1}' and len(one.inputFiles()) == 1
+    assert sinks.read_document(spark, path, "week", "9000").count() == 0
+    assert sinks.publish_docs(batch(spark, [], "{}").limit(0), path) == []
+
+
+def test_old_versions_can_be_dropped(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    for text in ("1", "2", "3"):
+        sinks.publish_docs(batch(spark, range(50), text), path, buckets=4)
+    dropped = sinks.drop_old_versions(spark, path, keep=2)
+    assert len(dropped) == 4 and all(place.startswith("data/000000/") for place in dropped)
+    assert set(contents(sinks.read_serving(spark, path)).values()) == {"3"}
+    assert sinks.read_serving(spark, path, version=1).count() == 50
+    assert sinks.drop_old_versions(spark, path, keep=2) == []

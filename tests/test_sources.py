@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 from viewtide import sources
 from viewtide.operators import quality
-from viewtide.sinks import write_facts, write_stage_kv
+from viewtide.sinks import write_facts, write_master, write_stage_kv
 
 
 @pytest.fixture
@@ -84,3 +84,25 @@ def test_stage_text_round_trip(spark, facts, tmp_path):
     read = sources.read_stage_kv(spark, str(tmp_path / "stage"), "day")
     assert {(r.interval, r.domain_code, r.page_title, r.views) for r in read.collect()} == {
         (day.replace("-", ""), "en", page, views) for day, page, views in rows}
+
+
+@pytest.mark.parametrize("limit", [1, 30, 31, 45, 60, 90, 1000])
+def test_limited_master_equals_a_full_sort(spark, hours, tmp_path, limit):
+    """Hours with 30, 22 and 15 records; titles and counts tie at the border of the cut."""
+    path = str(tmp_path / "master")
+    raw = sources.scan_lines(spark, f"{hours}/2016/*")
+    records = quality.master_records(raw).withColumn("page_title", F.substring("page_title", 1, 2))
+    write_master(records.unionByName(records.filter("count_views % 7 = 1")), path)
+    order = ["hourly_timestamp", "domain_code", "page_title", "count_views",
+             "total_response_size"]
+    stored = sources.read_master(spark, path)
+    rest = [name for name in stored.columns if name not in order]
+    expected = stored.orderBy(*order, *rest).limit(limit).collect()
+    assert sorted(sources.read_master(spark, path, limit).collect()) == sorted(expected)
+
+
+def test_limited_master_sorts_one_hour(spark, hours, tmp_path):
+    path = str(tmp_path / "master")
+    write_master(quality.master_records(sources.scan_lines(spark, f"{hours}/2016/*")), path)
+    plan = plan_of(sources.read_master(spark, path, 40))
+    assert "Limit" not in plan and "TakeOrdered" not in plan

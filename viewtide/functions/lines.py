@@ -63,8 +63,20 @@ def is_whole_number(text: Column) -> Column:
 
 
 def as_long(text: Column) -> Column:
-    """BIGINT value of an optionally signed decimal number, else null."""
-    return F.when(is_whole_number(text), text.try_cast("bigint"))
+    """BIGINT value of an optionally signed decimal number, else null.
+
+    The cast refuses everything else but blanks around the number, so a look at the
+    first and the last character replaces a regular expression.
+    """
+    first, last = F.ascii(text), F.ascii(F.right(text, F.lit(1)))
+    ends = first.between(ord("+"), ord("9")) & last.between(ord("0"), ord("9"))
+    return F.when(ends, text.try_cast("bigint"))
+
+
+def number_fault(text: Column, value: Column, no_number: str, out_of_range: str) -> Column:
+    """Why a text has no BIGINT ``value``; the text is only searched where it has none."""
+    return F.when(value.isNull(), F.when(is_whole_number(text), out_of_range)
+                  .otherwise(no_number))
 
 
 def field(fields: Column, position: int) -> Column:
@@ -90,13 +102,14 @@ def reject_reason(value: Column, fields: Column, domain: str = DOMAIN) -> Column
     )
 
 
-def record_reject_reason(fields: Column) -> Column:
+def record_numbers(fields: Column) -> Column:
+    """The two numbers of a record, parsed: ``views`` and ``size``."""
+    return F.struct(as_long(field(fields, 3)).alias("views"),
+                    as_long(field(fields, 4)).alias("size"))
+
+
+def record_reject_reason(fields: Column, numbers: Column) -> Column:
     """Why a line of any domain is no typed record, null if it is one."""
-    views, size = field(fields, 3), field(fields, 4)
-    return (
-        F.when(has_wrong_arity(fields), FIELDS)
-        .when(~is_whole_number(views), NONINTEGER)
-        .when(as_long(views).isNull(), RANGE)
-        .when(~is_whole_number(size), SIZE)
-        .when(as_long(size).isNull(), SIZE_RANGE)
-    )
+    return F.when(has_wrong_arity(fields), FIELDS).otherwise(F.coalesce(
+        number_fault(field(fields, 3), numbers["views"], NONINTEGER, RANGE),
+        number_fault(field(fields, 4), numbers["size"], SIZE, SIZE_RANGE)))

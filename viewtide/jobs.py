@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from viewtide.operators.inventory import list_data_files
 from viewtide.operators.layout import STORAGE_LEVELS
-from viewtide.operators.ranking import top_pages_for
 from viewtide.params import (
     DATA_FILE_LINK,
     DIRECTORY_LINK,
@@ -24,7 +23,7 @@ from viewtide.plans import master, publish, stages, trends
 from viewtide.sources import (
     last_kept_names,
     list_files,
-    read_top_pages,
+    read_top_list,
     scan_lines,
     scope_paths,
     within_names,
@@ -70,7 +69,8 @@ def _trends(spark: SparkSession, args: argparse.Namespace) -> None:
     options = trends.TrendOptions(
         domain=args.domain, min_views=None if args.no_threshold else args.min_views,
         top_n=args.top_n, collapse_ties=args.collapse_ties, grains=tuple(args.grains))
-    trends.build_trends(_lines(spark, args), args.output, args.storage_level, options)
+    trends.build_trends(_lines(spark, args), args.output, args.storage_level, options,
+                        args.rebuild).show(truncate=False)
 
 
 def _stages(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -83,15 +83,14 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _lookup(spark: SparkSession, args: argparse.Namespace) -> None:
-    lists = read_top_pages(spark, args.table)
-    found = top_pages_for(lists, args.grain, args.interval).orderBy("rank")
+    found = read_top_list(spark, args.table, args.grain, args.interval).orderBy("rank")
     # One list: as many rows as it was built with.
     found.show(found.count() if args.rows is None else args.rows, False)
 
 
 def _master(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = _lines(spark, args, positions=args.limit > 0)
-    master.load_master(raw, args.output, args.limit).show(truncate=False)
+    master.load_master(raw, args.output, args.limit, args.audit).show(truncate=False)
 
 
 def _consolidate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -131,13 +130,19 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--no-threshold", action="store_true")
     sub.add_argument("--top-n", type=int, default=TOP_N)
     sub.add_argument("--collapse-ties", action="store_true")
+    sub.add_argument("--rebuild", action="store_true",
+                     help="derive lists and series from all stored months")
     sub.add_argument("--grains", nargs="+", default=["day", "month", "year"], choices=GRAINS)
     sub = load("stages", _stages)
     sub.add_argument("--domain", default=DOMAIN)
     sub.add_argument("--partitions", type=int)
     for name, run in (("master", _master), ("consolidate", _consolidate)):
-        load(name, run).add_argument(
+        sub = load(name, run)
+        sub.add_argument(
             "--limit", type=int, default=0, help="accepted records per file, 0 for all")
+        if name == "master":
+            sub.add_argument("--audit", action="store_true",
+                             help="read back what was written and count what differs")
     job("publish", _publish, "source", "serving")
     sub = job("lookup", _lookup, "table", "grain", "interval")
     sub.add_argument("--rows", type=int, help="the whole list by default")

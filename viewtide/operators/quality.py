@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions import fields, lines
@@ -114,10 +116,43 @@ def reject_rows(raw: DataFrame, domain: str = DOMAIN) -> DataFrame:
             .drop("fields"))
 
 
+def outcome_metrics() -> list:
+    """Aggregates over the lines of a domain that account for every one of them."""
+    reason = F.col("reject_reason")
+    return [F.count("*").alias("in_domain"), F.count_if(reason.isNull()).alias("kept"),
+            *[F.count_if(reason == name).alias(name) for name in lines.REASONS
+              if name != lines.DOMAIN_REASON]]
+
+
+def daily_outcomes(judged: DataFrame, domain: str = DOMAIN) -> DataFrame:
+    """Daily views and reported rejects of judged lines in one aggregation.
+
+    A good line counts under its day and page, a reported reject under its file, text
+    and reason, so the text is read once for both. ``views`` is the sum of a page and
+    null for rejects, ``copies`` is the number of lines. Silent rejects (other domains,
+    the hyphen title) are only counted by ``outcome_metrics``.
+    """
+    reason, parts = F.col("reject_reason"), F.col("fields")
+    good = reason.isNull()
+    rows = judged.filter(good | ~reason.isin(*lines.SILENT_REASONS)).select(
+        fields.file_day(F.col("file_name")).alias("day"),
+        F.when(good, lines.field(parts, 2)).alias("page_title"), "reject_reason",
+        F.when(~good, F.col("file_name")).alias("file_name"),
+        F.when(~good, F.col("value")).alias("value"),
+        F.when(good, lines.field(parts, 3).try_cast("bigint")).alias("views"))
+    return rows.groupBy("day", "page_title", "reject_reason", "file_name", "value").agg(
+        F.sum("views").alias("views"), F.count("*").alias("copies")).withColumn(
+        "domain_code", F.lit(domain))
+
+
 def with_record_outcome(raw: DataFrame) -> DataFrame:
-    """Adds ``fields`` and ``reject_reason`` of typed records (null for a record)."""
-    return _with_fields(raw).withColumn(
-        "reject_reason", lines.record_reject_reason(F.col("fields")))
+    """Adds ``fields``, the parsed ``numbers`` and ``reject_reason`` of typed records
+    (null for a record). Every number is parsed once, behind a generator like the fields."""
+    parts = F.col("fields")
+    parsed = _with_fields(raw).select(
+        "*", F.explode(F.array(lines.record_numbers(parts))).alias("numbers"))
+    return parsed.withColumn("reject_reason", lines.record_reject_reason(
+        parts, F.col("numbers")))
 
 
 def records_of(judged: DataFrame) -> DataFrame:
@@ -130,11 +165,12 @@ def records_of(judged: DataFrame) -> DataFrame:
         F.substring(name, 17, 2).cast("int").alias("day"),
         F.substring(name, 20, 2).cast("int").alias("hour"))
     return judged.filter("reject_reason IS NULL").select(
-        *_others(judged, "value", "fields", "reject_reason"), stamp.alias("hourly_timestamp"),
+        *_others(judged, "value", "fields", "numbers", "reject_reason"),
+        stamp.alias("hourly_timestamp"),
         lines.field(parts, 1).alias("domain_code"),
         lines.field(parts, 2).alias("page_title"),
-        lines.field(parts, 3).cast("bigint").alias("count_views"),
-        lines.field(parts, 4).cast("bigint").alias("total_response_size"))
+        F.col("numbers.views").alias("count_views"),
+        F.col("numbers.size").alias("total_response_size"))
 
 
 def master_records(raw: DataFrame) -> DataFrame:
@@ -217,16 +253,82 @@ def _paired(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
 _CHANGED = " OR ".join(f"{name}_changed" for name in AUDITED)
 
 
-def roundtrip_audit(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
+# Buckets into which an audit divides the records.
+AUDIT_BUCKETS = 1024
+
+
+def fingerprint_metrics(names: Sequence[str]) -> list[Column]:
+    """Order-free fingerprint of a set of rows: their number and the exclusive or and sum
+    of two hashes. A null differs from every value and from a null in another column."""
+    values = [part for name in names for part in (F.col(name).isNull(), F.col(name))]
+    return [F.count("*").alias("n"), F.bit_xor(F.xxhash64(*values)).alias("x"),
+            F.sum(F.xxhash64(F.lit(1), *values).cast("decimal(38,0)")).alias("s")]
+
+
+def _bucket(names: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int")
+
+
+def _suspect(left: DataFrame, right: DataFrame, key: Sequence[str], names: Sequence[str],
+             buckets: int) -> tuple[list[int], int]:
+    """Buckets of the key whose fingerprints differ, and the rows in the others.
+
+    Each side is reduced to one row per task and bucket; no record is shuffled.
+    """
+    def marked(side: DataFrame, prefix: str) -> DataFrame:
+        marks = side.groupBy(_bucket(key, buckets).alias("bucket")).agg(
+            *fingerprint_metrics(names))
+        return marks.select("bucket", *[F.col(c).alias(prefix + c) for c in ("n", "x", "s")])
+    both = marked(left, "l").join(marked(right, "r"), "bucket", "full_outer").select(
+        "bucket", "ln", (F.col("ln").eqNullSafe(F.col("rn")) & F.col("lx").eqNullSafe(F.col("rx"))
+                         & F.col("ls").eqNullSafe(F.col("rs"))).alias("same")).collect()
+    return (sorted(row["bucket"] for row in both if not row["same"]),
+            sum(row["ln"] for row in both if row["same"]))
+
+
+def _within(side: DataFrame, key: Sequence[str], buckets: int, chosen: list[int]) -> DataFrame:
+    return side.filter(_bucket(key, buckets).isin(chosen) if chosen else F.lit(False))
+
+
+def _named(key: Sequence[str]) -> list[str]:
+    return [*key, "hourly_timestamp", *AUDITED]
+
+
+def roundtrip_audit(written: DataFrame, reread: DataFrame, key: list[str],
+                    buckets: int = AUDIT_BUCKETS) -> DataFrame:
     """Records that differ between the source and what was read back.
 
     ``key`` identifies a record on both sides. One ``<field>_changed`` flag per
-    audited field, and ``presence``: ``both``, ``lost`` or ``added``.
+    audited field, and ``presence``: ``both``, ``lost`` or ``added``. Both sides are
+    fingerprinted by buckets of the key first, and only the records of buckets that
+    differ are joined; of an undamaged store that is none.
     """
-    return _paired(written, reread, key).filter(_CHANGED)
+    chosen, _ = _suspect(written, reread, key, _named(key), buckets)
+    return _paired(_within(written, key, buckets, chosen),
+                   _within(reread, key, buckets, chosen), key).filter(_CHANGED)
 
 
-def roundtrip_summary(written: DataFrame, reread: DataFrame, key: list[str]) -> DataFrame:
+def roundtrip_summary(written: DataFrame, reread: DataFrame, key: list[str],
+                      buckets: int = AUDIT_BUCKETS) -> DataFrame:
     """Number of records compared and damaged."""
-    return _paired(written, reread, key).agg(
-        F.count("*").alias("compared"), F.count_if(F.expr(_CHANGED)).alias("damaged"))
+    chosen, same = _suspect(written, reread, key, _named(key), buckets)
+    return _paired(_within(written, key, buckets, chosen),
+                   _within(reread, key, buckets, chosen), key).agg(
+        (F.count("*") + F.lit(same).cast("bigint")).alias("compared"),
+        F.count_if(F.expr(_CHANGED)).alias("damaged"))
+
+
+def record_differences(source: DataFrame, stored: DataFrame,
+                       buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """Records without a key: those that source and store do not hold equally often.
+
+    Compares the columns of ``source``; adds ``in_source`` and ``in_store``.
+    """
+    names = source.columns
+    stored = stored.select(*names)
+    chosen, _ = _suspect(source, stored, names, names, buckets)
+    sides = [_within(side, names, buckets, chosen).withColumn("side", F.lit(place))
+             for place, side in enumerate((source, stored))]
+    return sides[0].unionByName(sides[1]).groupBy(*names).agg(
+        F.count_if(F.col("side") == 0).alias("in_source"),
+        F.count_if(F.col("side") == 1).alias("in_store")).filter("in_source <> in_store")

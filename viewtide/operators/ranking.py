@@ -108,8 +108,5 @@ def tagged_lists(tops: dict[str, DataFrame]) -> DataFrame:
 
 
 def top_pages_for(table: DataFrame, grain: str, interval: str) -> DataFrame:
-    """The list of one day, month or year from the lookup table, in rank order.
-
-    The table is partitioned by grain, so only that grain is read.
-    """
+    """The list of one day, month or year from a table of lists, in rank order."""
     return table.filter((F.col("grain") == grain) & (F.col("interval") == interval))

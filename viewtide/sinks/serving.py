@@ -3,23 +3,29 @@
 Load order is file path, then line: a later document replaces an earlier one
 with the same id. Everything per id is an aggregate with a partial step, so
 many copies of one id are reduced before the shuffle.
+
+The stored table lies in hash buckets of its key. A load rewrites the buckets in
+which its keys fall and leaves the files of all others in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.operators.documents import with_validity
+from viewtide.parts import current_version, manifest, read_parts, replace_parts
+from viewtide.storage import scratch_path
 
 _LOAD_ORDER = ("file_path", "block_start", "line_id")
-_VERSION_SCHEMA = "version INT"
 _DOC_SCHEMA = "grain STRING, doc_id STRING, doc STRING"
 # A weekly and a daily document may have the same id: the grain is part of the key.
 KEY = ("grain", "doc_id")
+# Buckets of a new serving table. A load reads and writes whole buckets, each in one
+# task; choose so many that one holds a few hundred megabytes when the table is full.
+BUCKETS = 64
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -42,42 +48,56 @@ def upsert_docs(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return kept.unionByName(latest)
 
 
-def publish_docs(incoming: DataFrame, path: str) -> None:
-    """Upserts into the serving table at ``path``.
+def _bucket(buckets: int) -> Column:
+    """Name of a key's bucket; it also tells into how many the table was divided."""
+    number = F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("string")
+    return F.concat(F.lpad(number, len(str(buckets)), "0"), F.lit(f"-of-{buckets}"))
 
-    A new version is written beside the current one and becomes visible when
-    its number is recorded, so readers never see a half-written table and a
-    failed load can be repeated.
-    """
-    spark = incoming.sparkSession
-    current = _current_version(spark, path)
-    existing = None if current is None else read_serving(spark, path)
-    version = 0 if current is None else current + 1
-    upsert_docs(existing, incoming).write.mode("overwrite").parquet(_version_path(path, version))
-    (spark.createDataFrame([(version,)], _VERSION_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(f"{path}/published"))
 
+def serving_buckets(spark: SparkSession, path: str) -> int | None:
+    """Into how many buckets the table is divided, ``None`` before the first load."""
+    return next((int(name.rpartition("-")[2]) for name in manifest(spark, path)), None)
 
-def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of the current version: ``grain, doc_id, doc``."""
-    current = _current_version(spark, path)
-    if current is None:
-        raise FileNotFoundError(f"nothing published at {path}")
-    return spark.read.schema(_DOC_SCHEMA).parquet(_version_path(path, current))
 
+def publish_docs(incoming: DataFrame, path: str, buckets: int = BUCKETS) -> list[str]:
+    """Upserts into the serving table at ``path``; returns the buckets rewritten.
 
-def _version_path(path: str, version: int) -> str:
-    return f"{path}/version-{version:06d}"
+    ``buckets`` divides a new table; later loads keep its division. The incoming
+    documents are reduced to the last of every key and written once; only stored
+    buckets that get one of these keys are read, merged and written. Rows of a bucket
+    are brought together in a single shuffle that also serves the merge.
+    """
+    spark = incoming.sparkSession
+    divided = serving_buckets(spark, path) or buckets
+    staged = scratch_path(spark, "incoming")
+    latest = latest_docs(incoming).withColumn("bucket", _bucket(divided))
+    latest.write.parquet(staged)
+    latest = spark.read.schema(latest.schema).parquet(staged)
+    touched = sorted(row["bucket"] for row in latest.select("bucket").distinct().collect())
+    if not touched and current_version(spark, path) is not None:
+        return []
+    existing = read_parts(spark, path, _DOC_SCHEMA, touched).withColumn("bucket", _bucket(divided))
+    newer = F.max_by("doc", "new").alias("doc")
+    merged = (existing.withColumn("new", F.lit(0)).unionByName(latest.withColumn("new", F.lit(1)))
+              .repartition(max(1, len(touched)), "bucket").groupBy("bucket", *KEY).agg(newer))
+    return replace_parts(merged, "bucket", path, arranged=True, sort=KEY)
+
+
+def read_serving(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Documents of the current version: ``grain, doc_id, doc``."""
+    if current_version(spark, path) is None:
+        raise FileNotFoundError(f"nothing published at {path}")
+    return read_parts(spark, path, _DOC_SCHEMA, version=version)
 
 
-def _current_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        published = spark.read.schema(_VERSION_SCHEMA).parquet(f"{path}/published")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return published.agg(F.max("version")).first()[0]
+def read_document(spark: SparkSession, path: str, grain: str, doc_id: str) -> DataFrame:
+    """One document by its key: only the key's bucket is opened, and within its files
+    the row groups that may hold the key."""
+    divided = serving_buckets(spark, path)
+    key = spark.range(1).select(F.lit(grain).alias("grain"), F.lit(doc_id).alias("doc_id"))
+    name = [] if divided is None else [key.select(_bucket(divided)).first()[0]]
+    return read_parts(spark, path, _DOC_SCHEMA, name).filter(
+        (F.col("grain") == grain) & (F.col("doc_id") == doc_id))
 
 
 def load_report(lines: DataFrame, existing: DataFrame | None = None,
