@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.facts import TOP, tops
@@ -15,7 +17,9 @@ from catalog.fixtures import (
     plain,
     top_sql,
 )
+from viewtide import sinks
 from viewtide.operators import documents, series
+from viewtide.storage import scratch_path
 
 
 def nested_days(spark, sf_dir, n=TOP, source=daily_lineitem):
@@ -53,6 +57,18 @@ def popular_daily_views(spark, sf_dir):
     return plain(_popular(spark, sf_dir)[1])
 
 
+def popular_daily_views_bucketed(spark, sf_dir):
+    """The same over stored facts in buckets of pages, tested at the scan."""
+    daily = daily_above(daily_parts(spark, sf_dir))
+    path = scratch_path(spark, "facts_by_page")
+    table = "facts_by_page_" + uuid.uuid4().hex
+    sinks.write_bucketed_facts(daily, table, path, 8)
+    held = scratch_path(spark, "popular")
+    series.popular_page_ids(*tops(daily, 1).values()).write.parquet(held)
+    return plain(series.popular_daily_views(
+        spark.table(table), spark.read.parquet(held), prefilter=True))
+
+
 def page_series(spark, sf_dir):
     nested = series.page_series(_popular(spark, sf_dir)[1])
     return plain(nested.select("page_id", F.posexplode("daily_views").alias("pos", "point"))
@@ -69,6 +85,7 @@ QUERIES = {
     "unnest_top_page_ids": unnest_top_page_ids,
     "popular_page_ids": popular_page_ids,
     "popular_daily_views": popular_daily_views,
+    "popular_daily_views_bucketed": popular_daily_views_bucketed,
     "page_series": page_series,
     "page_series_docs": page_series_docs,
 }
@@ -102,3 +119,4 @@ SQL = {
           ORDER BY day)))::VARCHAR AS doc
         FROM popular_days GROUP BY page_title""",
 }
+SQL["popular_daily_views_bucketed"] = SQL["popular_daily_views"]

@@ -1,6 +1,10 @@
 import json
 
-from viewtide.operators import documents, ranking, series, rollup
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide import sinks
+from viewtide.operators import bloom, documents, ranking, rollup, series
 
 
 def test_documents_round_trip_to_ranked_rows(facts):
@@ -49,3 +53,41 @@ def test_series_of_popular_pages(facts):
     assert json.loads(doc.doc) == {"pageId": "en A", "dailyViews": [
         {"day": "20160701", "views": "200"}, {"day": "20160702", "views": "300"},
         {"day": "20160801", "views": "400"}]}
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    """Facts of 3,000 pages in buckets, and 40 popular ones on disk."""
+    facts = spark.range(30000).select(
+        F.date_add(F.lit("2016-01-01").cast("date"), (F.col("id") / 3000).cast("int")).alias("day"),
+        F.lit("en").alias("domain_code"), F.concat(F.lit("P"), F.col("id") % 3000).alias(
+            "page_title"), F.col("id").alias("views"))
+    sinks.write_bucketed_facts(facts, "facts_in_buckets", str(tmp_path / "facts"), 6)
+    facts.filter("id % 3000 % 75 = 0").select("domain_code", "page_title").distinct(
+    ).write.parquet(str(tmp_path / "popular"))
+    yield spark.table("facts_in_buckets"), spark.read.parquet(str(tmp_path / "popular"))
+    spark.sql("DROP TABLE facts_in_buckets")
+
+
+def test_bucketed_facts_are_not_exchanged(spark, bucketed, set_conf):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    facts, popular = bucketed
+    kept = series.popular_daily_views(facts, popular, prefilter=True)
+    assert kept.count() == 400
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # Of the two sides only the popular pages pass an exchange; the bitmap has its own.
+    assert "SortMergeJoin" in plan and "SelectedBucketsCount: 6 out of 6" in plan
+    assert plan.count("Exchange hashpartitioning(domain_code") == 1
+
+
+@pytest.mark.parametrize("bits", [1 << 20, 1 << 12, 64])
+def test_the_bitmap_loses_no_key(spark, bucketed, bits):
+    facts, popular = bucketed
+    passed = bloom.maybe_in(facts, popular, ["domain_code", "page_title"], bits)
+    exact = facts.join(popular, ["domain_code", "page_title"], "left_semi")
+    assert passed.join(popular, ["domain_code", "page_title"], "left_semi").count() == 400
+    assert exact.select(*passed.columns).exceptAll(passed).isEmpty()
+    if bits == 1 << 20:
+        assert passed.count() == 400
+    assert bloom.maybe_in(facts, popular.filter("false"), ["domain_code", "page_title"],
+                          bits).isEmpty()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions import fields
+from viewtide.operators.bloom import maybe_in
 from viewtide.operators.rollup import PAGE
 
 
@@ -18,9 +19,16 @@ def popular_page_ids(*ranked: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, pages).distinct()
 
 
-def popular_daily_views(daily: DataFrame, popular: DataFrame) -> DataFrame:
-    """Daily rows of popular pages. Spark picks the join side by size."""
-    return daily.join(popular, list(PAGE), "left_semi")
+def popular_daily_views(daily: DataFrame, popular: DataFrame,
+                        prefilter: bool = False) -> DataFrame:
+    """Daily rows of popular pages. Spark picks the join side by size.
+
+    ``prefilter`` tests the rows against a bitmap of the pages where they are scanned;
+    ``popular`` is then read twice, so it should be stored. On facts that lie in buckets
+    of pages (``write_bucketed_facts``) the join needs no exchange of facts.
+    """
+    rows = maybe_in(daily, popular, PAGE) if prefilter else daily
+    return rows.join(popular, list(PAGE), "left_semi")
 
 
 def page_series(daily: DataFrame) -> DataFrame:

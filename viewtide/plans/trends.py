@@ -140,7 +140,7 @@ def _refresh_series(daily: DataFrame, lists: DataFrame, months: Sequence[int], p
         return
     in_parts = series_part().isin(parts)
     history = facts.filter("false") if fresh.isEmpty() else series.popular_daily_views(
-        facts, fresh)
+        facts, fresh, prefilter=True)
     write_series(series.merged_series(
         read_series(spark, path, parts), popular.filter(in_parts), points.filter(in_parts),
         history, months), path, cleared=parts)

@@ -12,6 +12,7 @@ from viewtide.sinks.tables import (
     overwrite_year,
     read_years,
     series_part,
+    write_bucketed_facts,
     write_facts,
     write_master,
     write_rejects,
@@ -29,7 +30,7 @@ from viewtide.sinks.text import (
 __all__ = [
     "doc_lines", "drop_old_versions", "export_compressed", "latest_docs", "load_report",
     "overwrite_year", "publish_docs", "read_document", "read_parts", "read_serving",
-    "read_years", "replace_parts", "series_part", "upsert_docs", "write_doc_lines",
-    "write_facts", "write_master", "write_rejects", "write_series", "write_stage_kv",
+    "read_years", "replace_parts", "series_part", "upsert_docs", "write_bucketed_facts",
+    "write_doc_lines", "write_facts", "write_master", "write_rejects", "write_series", "write_stage_kv",
     "write_stamped_lines", "write_top_pages",
 ]
