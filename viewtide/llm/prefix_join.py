@@ -5,10 +5,10 @@ by one order of shingles. Two sets of the wanted similarity then share a shingle
 the first few of both: of the larger one as many as its own bound leaves, of the
 smaller one fewer still. So the join needs only these prefixes.
 
-The order puts shingles that many prefixes would hold last. It is found by counting
-prefixes of the plain hash order; the most frequent ``HOT`` of them (a bounded list)
-move to the end, and only sets that hold one of these in their prefix are read again.
-Any order gives the same links, so the bound of the list costs no result.
+The order puts frequent shingles last. A first pass over all texts counts the shingles
+that repeat within a slice of a task; the ``HOT`` most frequent of them (a bounded list)
+follow all others, which are ordered by hash. Any order gives the same links, so neither
+the slices nor the bound of the list cost a result.
 
 Equal sets are one node. Nodes of equal prefix and size form a group, and groups are
 joined instead of nodes: on a shared shingle, with the bounds that size and position
@@ -18,10 +18,10 @@ allow. Pairs of groups are expanded to members and verified on whole sets:
    of joined groups with each other (in a crowded shingle with the least of a similar
    size), which links nearly all that belongs together;
 2. what may still hold unlinked similar members (a group, a pair of groups, a crowded
-   shingle whose members are in more than one component) is compared completely: its
-   members are dealt into blocks, every two blocks meet once, and the pairs that are not
-   connected yet are counted by an inverted index. A unit sends references; a set is
-   added after the deal, and a task's group never holds more than two blocks.
+   shingle whose members are in more than one component; shingles with the same least
+   group are one unit) is compared completely: its members are dealt into blocks, two
+   blocks that are not connected yet meet once, and their common shingles are counted by
+   an inverted index. A group of a task never holds more than two blocks.
 
 No member, group or candidate is left out, whatever the skew.
 
@@ -33,8 +33,7 @@ empty table gives an empty result. Other columns are ignored, whatever their nam
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,49 +43,75 @@ from pyspark.sql import functions as F
 from viewtide.llm.graph import components, stored
 
 # Words, and the case that is folded.
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_UPPER = str.maketrans(_CAPITALS, _SMALL)
 
 SHINGLE = 5
 PERCENT = 80
 # Groups that share a shingle are joined in pairs up to CROWD, otherwise by stars.
-CROWD = 24
+CROWD = 256
 # Members of one block of an exhaustive comparison.
 BLOCK = 192
-# Shingles that are moved to the end of the order.
+# Shingles that are moved to the end of the order, at most; they repeat at least REPEATED
+# times within COUNTED shingles of one task.
 HOT = 1 << 16
+REPEATED = 8
+COUNTED = 1 << 22
+# Bits of the bitmap of wanted texts, at most: 16 MB.
+_MOST_BITS = 1 << 27
 _SEED = 13
-_KNOWN_WORDS = 1 << 20
-_words: dict[str, int] = {}
-_FACTORS = np.random.default_rng(_SEED).integers(
-    0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
-_SIGN = np.uint64(1 << 63)
+# Bytes of text hashed at once.
+_SLICE = 1 << 18
+_random = np.random.default_rng(_SEED)
+_BYTES = _random.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTES[_SPACE] = _BYTES[0x20]
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    import xxhash
-    if len(_words) > _KNOWN_WORDS:
-        _words.clear()
-    for word in set(words).difference(_words):
-        _words[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), _SEED)
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+def _power_tables(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, at least ``size`` of each."""
+    if len(_powers[0]) < size:
+        for place, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(size, np.uint64(base))
+            factors[0] = 1
+            _powers[place] = np.multiply.accumulate(factors)
+    return _powers
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes of one whole text, as signed integers."""
-    words = _WORD.findall(text.translate(_UPPER)) if text else []
-    if not words:
+    """Sorted distinct shingle hashes of one whole text, as signed integers.
+
+    The words are laid out with one space between them; a shingle is a range of these
+    bytes, and its hash comes from the difference of two running sums.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    space = _SPACE[raw]
+    keep = ~space
+    keep[1:] |= ~space[:-1]
+    words, gaps = raw[keep], np.flatnonzero(space[keep])
+    if not len(words):
         return np.empty(0, np.int64)
-    hashes = _word_hashes(words)
-    width = min(shingle, len(words))
-    n = len(words) - width + 1
-    # A sequence shorter than a shingle differs from every shingle by its width.
-    total = np.full(n, np.uint64(width))
-    for place in range(width):
-        total = (total ^ hashes[place:place + n]) * _FACTORS[place % 64]
-        total ^= total >> np.uint64(29)
-    return np.unique(total.view(np.int64))
+    ends = gaps if len(gaps) and gaps[-1] == len(words) - 1 else np.append(gaps, len(words))
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    width = min(shingle, len(ends))
+    first, last = starts[:len(ends) - width + 1], ends[width - 1:]
+    found, at = [], 0
+    while at < len(first):
+        until = max(at + 1, int(np.searchsorted(last, first[at] + _SLICE)))
+        low, high = int(first[at]), int(last[until - 1])
+        power, inverse = _power_tables(max(_SLICE, high - low) + 1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(
+            _BYTES[words[low:high]] * power[:high - low])])
+        a, b = first[at:until] - low, last[at:until] - low
+        hashes = (sums[b] - sums[a]) * inverse[a]
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * _MIX
+        found.append(hashes ^ (hashes >> np.uint64(29)))
+        at = until
+    hashes = np.concatenate(found).view(np.int64)
+    hashes.sort()
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
 
 
 def prefix_size(size, percent: int = PERCENT):
@@ -116,6 +141,17 @@ def reaches(both, size_a, size_b, percent: int = PERCENT):
     return 100 * both >= percent * (size_a + size_b - both)
 
 
+def _heavy(frame: DataFrame, name: str) -> DataFrame:
+    """Writes a table that took a wide shuffle and lets Spark drop that shuffle's files.
+
+    It keeps them until the driver collects its garbage, which a driver that mostly waits
+    may not do before the disks of the executors are full.
+    """
+    table = stored(frame, name)
+    frame.sparkSession.sparkContext._jvm.System.gc()
+    return table
+
+
 def _text_key(text: Column) -> list[Column]:
     """What tells texts apart without carrying them: 128 bits and the size."""
     whole = F.coalesce(text, F.lit(""))
@@ -126,60 +162,90 @@ def _text_key(text: Column) -> list[Column]:
 _KEY = ["t1", "t2", "t3"]
 
 
-def _marks(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per row: id, text key, two hashes of the set, its size and prefix in hash order."""
-    schema = "doc_id LONG, t1 LONG, t2 LONG, t3 INT, h1 LONG, h2 LONG, size LONG, prefix ARRAY<LONG>"
-    empty = np.empty(0, np.int64)
+def _frequent(docs: DataFrame, shingle: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and their counts."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
 
-    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def repeated() -> pd.DataFrame:
+            tokens = np.sort(np.concatenate([np.empty(0, np.int64), *held]))
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])
+                                   ) if len(tokens) else np.empty(0, np.int64)
+            n = np.diff(np.append(first, len(tokens)))
+            return pd.DataFrame({"token": tokens[first[n >= REPEATED]], "n": n[n >= REPEATED]})
+        for batch in batches:
+            for text in batch["text"]:
+                held.append(shingle_set(text, shingle))
+                size += len(held[-1])
+                if size > COUNTED:
+                    yield repeated()
+                    held, size = [], 0
+        yield repeated()
+    found = docs.select("text").mapInPandas(counted, "token LONG, n LONG").groupBy("token").agg(
+        F.sum("n").alias("n")).orderBy(F.col("n").desc(), "token").limit(hot).toPandas()
+    found = found.sort_values("token")
+    return found["token"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+
+def _marks(docs: DataFrame, shingle: int, percent: int, hot: np.ndarray, rank: np.ndarray
+           ) -> DataFrame:
+    """Per row: id, text key, two hashes of the set and of the prefix, size and prefix."""
+    schema = ("doc_id LONG, t1 LONG, t2 LONG, t3 INT, h1 LONG, h2 LONG, g1 LONG, g2 LONG, "
+              "size INT, prefix ARRAY<LONG>")
+
+    def digests(values: list[np.ndarray]) -> np.ndarray:
         import xxhash
+        return np.array([divmod(xxhash.xxh3_128_intdigest(v.tobytes()), 1 << 64)
+                         for v in values], np.uint64).reshape(-1, 2).view(np.int64)
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(text, shingle) for text in batch["text"]]
-            digests = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64)
-                                for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+            prefixes = [ordered_prefix(s, hot, rank, percent) for s in sets]
+            of_sets, of_prefixes = digests(sets), digests(prefixes)
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"), "t1": batch["t1"], "t2": batch["t2"],
-                "t3": batch["t3"], "h1": digests[:, 0], "h2": digests[:, 1],
-                "size": [len(s) for s in sets],
-                "prefix": [ordered_prefix(s, empty, empty, percent) for s in sets]})
+                "t3": batch["t3"], "h1": of_sets[:, 0], "h2": of_sets[:, 1],
+                "g1": of_prefixes[:, 0], "g2": of_prefixes[:, 1],
+                "size": [len(s) for s in sets], "prefix": prefixes})
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        *_text_key(F.col("text"))).mapInPandas(marked, schema)
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, text`` of the wanted ``node`` and text keys, each once."""
-    texts = docs.select("text", *_text_key(F.col("text")))
-    return (texts.join(wanted.select("node", *_KEY), _KEY).groupBy("node")
-            .agg(F.first("text").alias("text")))
+def _maybe_wanted(wanted: DataFrame) -> Callable[[Column], Column]:
+    """Test of a text key against a bitmap of the wanted ones.
+
+    It lets a few others pass, so that hardly any unwanted text is shuffled. The bitmap
+    has at most ``_MOST_BITS`` bits, whatever the number of wanted texts.
+    """
+    bits = min(_MOST_BITS, 1 << max(15, (32 * wanted.count()).bit_length()))
+    bit = F.pmod("t1", F.lit(bits))
+    rows = wanted.select((bit + 1).alias("bit")).groupBy(
+        F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map")).collect()
+    octets = np.zeros(bits // 8, np.uint8)
+    for row in rows:
+        start = (row["bucket"] - 1) * len(row["map"])
+        octets[start:start + len(row["map"])] = np.frombuffer(row["map"], np.uint8)
+
+    @F.pandas_udf("boolean")
+    def known(keys: pd.Series) -> pd.Series:
+        place = keys.to_numpy(np.int64)
+        return pd.Series((octets[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1)
+    return lambda key: known(F.pmod(key, F.lit(bits)))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``node, set`` of the wanted ``node`` and text keys, each once."""
     @F.pandas_udf("array<long>")
     def made(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: shingle_set(text, shingle))
-    return _texts(docs, wanted).select("node", made("text").alias("set"))
-
-
-def _with_hot_last(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, crowd: int,
-                   hot: int) -> DataFrame:
-    """The nodes with prefixes of an order in which frequent shingles come last."""
-    tokens = nodes.select("node", F.explode("prefix").alias("token"))
-    counted = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
-    frequent = counted.orderBy(F.col("n").desc(), "token").limit(hot).toPandas()
-    if not len(frequent):
-        return nodes
-    frequent = frequent.sort_values("token")
-    values, ranks = frequent["token"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
-    known = F.broadcast(nodes.sparkSession.createDataFrame(frequent[["token"]]))
-    touched = stored(tokens.join(known, "token").select("node").distinct(), "touched")
-
-    @F.pandas_udf("array<long>")
-    def again(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: ordered_prefix(
-            shingle_set(text, shingle), values, ranks, percent))
-    changed = _texts(docs, nodes.join(touched, "node")).select("node", again("text").alias("new"))
-    return stored(nodes.join(changed, "node", "left").select(
-        "node", *_KEY, "size", F.coalesce("new", "prefix").alias("prefix")), "ordered")
+    texts = docs.select("text", *_text_key(F.col("text"))).filter(
+        _maybe_wanted(wanted)(F.col("t1")))
+    # The node follows from the key, so this groups within the partitions of the join.
+    once = texts.join(wanted.select("node", *_KEY), _KEY).groupBy(*_KEY, "node").agg(
+        F.first("text").alias("text"))
+    return once.select("node", made("text").alias("set"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,20 +259,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(similar("x", "y")).select("a", "b"))
 
 
-def _candidates(a: str, b: str, percent: int) -> Column:
-    """Whether two groups that share a shingle may hold similar members.
+def _may_meet(a: str, b: str, percent: int) -> Column:
+    """Whether two groups may be similar if this is the first shingle that they share.
 
-    ``a`` and ``b`` are structs with ``size`` and ``pos`` (from 0) of the shingle. The
-    bound on the overlap holds where it is the first shared one; a similar pair passes
-    there, so it is found although other shared shingles may refuse it.
+    ``a`` and ``b`` are structs with ``size`` and ``pos`` (from 0) of the shingle. A
+    similar pair passes at its first shared shingle, in the shorter prefix of the smaller.
     """
     p, q = F.col(f"{a}.size"), F.col(f"{b}.size")
     small = F.when(p <= q, F.col(f"{a}.pos")).otherwise(F.col(f"{b}.pos"))
     least = F.least(p, q)
-    sized = 100 * least >= percent * F.greatest(p, q)
     indexed = small < least - _ceil_div(2 * percent * least, 100 + percent) + 1
     rest = 1 + F.least(p - F.col(f"{a}.pos") - 1, q - F.col(f"{b}.pos") - 1)
-    return sized & indexed & ((100 + percent) * rest >= percent * (p + q))
+    return indexed & ((100 + percent) * rest >= percent * (p + q))
+
+
+def _overlap_bound(percent: int) -> Column:
+    """How many shingles a pair of groups can share at most, from its shared prefix.
+
+    Of two prefixes one ends first in the order. What is shared but was not counted lies
+    behind the end of that one, and in the other set behind its last counted shingle; or
+    it is one of the crowded shingles, which are not counted in pairs.
+    """
+    def behind(size: str) -> Column:
+        return F.col(size) - (F.col(size) - _ceil_div(percent * F.col(size), 100) + 1)
+    first = F.least(behind("p"), F.col("q") - F.col("last_b") - 1)
+    second = F.least(behind("q"), F.col("p") - F.col("last_a") - 1)
+    crowded = F.least(F.coalesce("crowded_a", F.lit(0)), F.coalesce("crowded_b", F.lit(0)))
+    return F.col("shared") + F.greatest(first, second) + crowded
 
 
 def _ceil_div(value: Column, by: int) -> Column:
@@ -292,47 +371,69 @@ def _size_band(size: Column, percent: int) -> Column:
     return F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
 
 
-def _joined(nodes: DataFrame, docs: DataFrame, shingle: int, percent: int, crowd: int,
-            block: int) -> DataFrame:
-    """``node, component`` of all linked nodes."""
-    grouped = nodes.groupBy(F.xxhash64("prefix").alias("g1"), F.hash("prefix").alias("g2"),
-                            "size").agg(F.min("node").alias("rep"), F.count("*").alias("members"),
-                                        F.first("prefix").alias("prefix"))
-    groups = stored(grouped, "groups")
-    several = groups.filter("members > 1").select("g1", "g2", "size", "rep")
-    member_of = stored(
-        nodes.select("node", "size", F.xxhash64("prefix").alias("g1"),
-                     F.hash("prefix").alias("g2")).join(several, ["g1", "g2", "size"])
-        .select("node", "rep"), "member_of")
-    index = groups.select("rep", "size", "members", F.posexplode("prefix").alias("pos", "token"))
-    keys = stored(index.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
-    shared = stored(index.join(keys, "token"), "shared")
-
-    side = F.struct("rep", "size", "pos", "members")
+def _joined(nodes: DataFrame, prefixes: DataFrame, docs: DataFrame, shingle: int,
+            percent: int, crowd: int, block: int) -> DataFrame:
+    """``node, component`` of all linked nodes.
+
+    ``nodes`` has ``node``, the text key, ``size`` and the group ``g1, g2``; ``prefixes``
+    has the prefix of every group.
+    """
+    key = ["g1", "g2", "size"]
+    grouped = nodes.groupBy(*key).agg(F.min("node").alias("rep"), F.count("*").alias("members"))
+    groups = _heavy(grouped.join(prefixes, key), "groups")
+    several = groups.filter("members > 1").select(*key, "rep")
+    member_of = stored(nodes.join(several, key).select("node", "rep"), "member_of")
+    # Size and position share a number: this is the widest shuffle.
+    index = groups.select("rep", "size", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "rep", (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"))
+    keys = _heavy(index.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
+    shared = _heavy(index.join(keys, "token").select(
+        "token", "n", "rep", F.shiftright("place", 32).alias("size"),
+        F.col("place").bitwiseAND((1 << 32) - 1).alias("pos")), "shared")
+
+    side = F.struct("rep", "size", "pos")
     few = shared.filter(F.col("n") <= crowd).select("token", side.alias("s"))
-    pairs = few.select("token", F.col("s").alias("a")).join(
+    least, most = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
+    met = few.select("token", F.col("s").alias("a")).join(
         few.select("token", F.col("s").alias("b")), "token").filter(
-        (F.col("a.rep") < F.col("b.rep")) & _candidates("a", "b", percent)).select(
-        F.col("a.rep").alias("a"), F.col("b.rep").alias("b"),
-        (F.col("a.members") * F.col("b.members") > 1).alias("wide")).distinct()
-    pairs = stored(pairs, "group_pairs")
+        (F.col("a.rep") < F.col("b.rep")) & (100 * least >= percent * most))
+    counted = met.groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"),
+                          F.col("a.size").alias("p"), F.col("b.size").alias("q")).agg(
+        F.count("*").alias("shared"), F.max("a.pos").alias("last_a"),
+        F.max("b.pos").alias("last_b"), F.bool_or(_may_meet("a", "b", percent)).alias("may"))
+    crowds = shared.filter(F.col("n") > crowd)
+    in_crowds = stored(crowds.groupBy("rep").agg(F.count("*").alias("n")), "in_crowds")
+    close = counted.filter("may").join(
+        in_crowds.select(F.col("rep").alias("a"), F.col("n").alias("crowded_a")), "a", "left").join(
+        in_crowds.select(F.col("rep").alias("b"), F.col("n").alias("crowded_b")), "b", "left"
+    ).filter((100 + percent) * _overlap_bound(percent) >= percent * (F.col("p") + F.col("q")))
+    pairs = _heavy(close.select("a", "b"), "group_pairs")
+    wide_groups = several.select("rep")
+    wide = pairs.join(wide_groups.withColumnRenamed("rep", "a"), "a", "left_semi").unionByName(
+        pairs.join(wide_groups.withColumnRenamed("rep", "b"), "b", "left_semi")).distinct()
     # Stars of crowded shingles: in every band of sizes, and across to the next one.
     band = _size_band(F.col("size"), percent)
-    many = stored(shared.filter(F.col("n") > crowd).select(
-        "token", "rep", "members", F.explode(F.array(band, band + 1)).alias("band")), "crowded")
-    least = many.groupBy("token", "band").agg(F.min("rep").alias("low"), F.count("*").alias("n"))
-    stars = many.join(least, ["token", "band"]).filter("low < rep").select(
+    many = stored(crowds.select(
+        "token", "rep", "size", F.explode(F.array(band, band + 1)).alias("band")), "crowded")
+    lowest = many.groupBy("token", "band").agg(F.min(F.struct("rep", "size")).alias("low"))
+    # Shingles of one text mostly have the same members: those with the same least group
+    # are one unit, which holds all of their pairs and each member once.
+    led = stored(many.join(lowest, ["token", "band"]).select(
+        "band", F.col("low.rep").alias("low"), F.col("low.size").alias("low_size"), "rep", "size"
+    ).distinct(), "led")
+    stars = led.filter((F.col("low") < F.col("rep")) & (
+        100 * F.least("size", "low_size") >= percent * F.greatest("size", "low_size"))).select(
         F.col("low").alias("a"), F.col("rep").alias("b"))
     inside = member_of.filter("rep < node").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    proposed = stored(pairs.select("a", "b").unionByName(stars).unionByName(inside).distinct(),
+    proposed = stored(pairs.unionByName(stars).unionByName(inside).distinct(),
                       "proposed")
 
     def sets_of(asked: DataFrame) -> DataFrame:
-        return stored(_sets(docs, nodes.join(asked.distinct(), "node"), shingle), "sets")
+        return _heavy(_sets(docs, nodes.join(asked.distinct(), "node"), shingle), "sets")
 
     both = proposed.select(F.col("a").alias("node")).unionByName(
         proposed.select(F.col("b").alias("node")))
-    links = stored(_verified(proposed, sets_of(both), percent), "links")
+    links = _heavy(_verified(proposed, sets_of(both), percent), "links")
     group = stored(components(links), "components")
 
     # What the first step may have left open: judged by groups, expanded to members.
@@ -345,10 +446,10 @@ def _joined(nodes: DataFrame, docs: DataFrame, shingle: int, percent: int, crowd
         F.count("*").alias("n")), "spans")
     in_groups = spans.filter("low < high").select(
         F.concat(F.lit("g"), "rep").alias("unit"), "rep")
-    ends = pairs.filter("wide").select(F.concat_ws("-", "a", "b").alias("unit"),
+    ends = wide.select(F.concat_ws("-", "a", "b").alias("unit"),
                                        F.explode(F.array("a", "b")).alias("rep"))
-    in_crowds = many.select(F.concat_ws("/", "token", "band").alias("unit"), "rep")
-    units = stored(ends.unionByName(in_crowds).join(spans, "rep"), "units")
+    crowd_units = led.select(F.concat_ws("/", "low", "band").alias("unit"), "rep")
+    units = stored(ends.unionByName(crowd_units).join(spans, "rep"), "units")
     open_units = units.groupBy("unit").agg(
         F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
     open_reps = units.join(open_units.select("unit"), "unit").select("unit", "rep").unionByName(
@@ -367,26 +468,24 @@ def link_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     Texts are linked where ``100 * common >= percent * union``; ``component_id`` is the
     smallest id that links reach.
     """
-    rows = stored(_marks(docs, shingle, percent), "marks")
-    first = F.min(F.struct(*_KEY)).alias("t")
-    distinct = rows.filter("size > 0").groupBy("h1", "h2").agg(
-        first, F.first("size").alias("size"), F.first("prefix").alias("prefix"),
-        F.min("doc_id").alias("least_id"))
+    rows = stored(_marks(docs, shingle, percent, *_frequent(docs, shingle, hot)), "marks")
+    full_rows = rows.filter("size > 0")
+    distinct = full_rows.groupBy("h1", "h2", "g1", "g2", "size").agg(
+        F.min(F.struct(*_KEY)).alias("t"), F.min("doc_id").alias("least_id"))
     # Once written, the numbers of the nodes are fixed.
     nodes = stored(distinct.select(
-        F.monotonically_increasing_id().alias("node"), "h1", "h2", "t.*", "size", "prefix",
+        F.monotonically_increasing_id().alias("node"), "h1", "h2", "g1", "g2", "size", "t.*",
         "least_id"), "nodes")
-    ordered = _with_hot_last(docs, nodes.select("node", *_KEY, "size", "prefix"), shingle,
-                             percent, crowd, hot)
-    linked = _joined(ordered, docs, shingle, percent, crowd, block)
+    prefixes = full_rows.groupBy("g1", "g2", "size").agg(F.first("prefix").alias("prefix"))
+    linked = _joined(nodes, prefixes, docs, shingle, percent, crowd, block)
     own = nodes.select("node", "h1", "h2", "least_id").join(linked, "node", "left").select(
         "h1", "h2", "least_id", F.coalesce("component", "node").alias("component"))
     least = own.groupBy("component").agg(F.min("least_id").alias("component_id"))
     found = stored(own.join(least, "component").select("h1", "h2", "component_id"), "found")
-    full = rows.filter("size > 0").select("doc_id", "size", "h1", "h2").join(
-        found, ["h1", "h2"]).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
-    return full.unionByName(rows.filter("size = 0").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    size = F.col("size").cast("long").alias("n_shingles")
+    return full_rows.select("doc_id", size, "h1", "h2").join(found, ["h1", "h2"]).select(
+        "doc_id", "n_shingles", "component_id").unionByName(rows.filter("size = 0").select(
+            "doc_id", size, F.col("doc_id").alias("component_id")))
 
 
 # The same links in SQL: all pairs of documents that share a shingle are counted.
