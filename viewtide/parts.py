@@ -15,6 +15,7 @@ it is what the driver reads.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,20 +41,34 @@ def current_version(spark: SparkSession, path: str) -> int | None:
                default=None)
 
 
-def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, str]:
-    """Folder of every part, relative to ``path``; of the current version by default."""
+@dataclass(frozen=True)
+class State:
+    """A version of a table: its number, ``None`` before the first load, and the folder
+    of every part, relative to the table."""
+
+    version: int | None
+    folders: dict[str, str]
+
+
+def state_of(spark: SparkSession, path: str, version: int | None = None) -> State:
+    """The current version, or a given one."""
     version = current_version(spark, path) if version is None else version
     if version is None:
-        return {}
-    return {row["part"]: row["folder"]
-            for row in _rows(spark, f"{path}/manifest/{version:06d}", _MANIFEST)}
+        return State(None, {})
+    return State(version, {row["part"]: row["folder"] for row in _rows(
+        spark, f"{path}/manifest/{version:06d}", _MANIFEST)})
+
+
+def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, str]:
+    """Folder of every part; of the current version by default."""
+    return state_of(spark, path, version).folders
 
 
 def read_parts(spark: SparkSession, path: str, schema, parts: Iterable[str] | None = None,
-               version: int | None = None) -> DataFrame:
+               version: int | None = None, state: State | None = None) -> DataFrame:
     """Rows of the given parts, of all by default. Only their folders are opened; parts
     that the table does not have are empty."""
-    folders = manifest(spark, path, version)
+    folders = (state or state_of(spark, path, version)).folders
     names = folders if parts is None else [name for name in parts if name in folders]
     if not names:
         return spark.createDataFrame([], schema)
@@ -63,18 +78,19 @@ def read_parts(spark: SparkSession, path: str, schema, parts: Iterable[str] | No
 
 def replace_parts(table: DataFrame, part: Column | str, path: str,
                   cleared: Iterable[str] = (), arranged: bool = False,
-                  sort: Iterable[str] = ()) -> list[str]:
+                  sort: Iterable[str] = (), state: State | None = None) -> list[str]:
     """Writes the parts present in ``table`` and publishes them with the others.
 
     ``part`` names the part of a row, in characters that folders allow. Parts in
     ``cleared`` that ``table`` does not hold are dropped. Rows are rebalanced by part,
     so a part that holds much more than the others has several files; ``arranged``
-    tells that the rows already lie together by part. Returns the parts written.
+    tells that the rows already lie together by part. ``state`` is the current version
+    where the caller has read it. Returns the parts written.
     """
     spark = table.sparkSession
-    version = current_version(spark, path)
-    before = {} if version is None else manifest(spark, path, version)
-    version = 0 if version is None else version + 1
+    state = state or state_of(spark, path)
+    before = state.folders
+    version = 0 if state.version is None else state.version + 1
     folder = f"data/{version:06d}"
     rows = table.withColumn(_PART, F.col(part) if isinstance(part, str) else part)
     if not arranged:

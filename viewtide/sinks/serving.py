@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.operators.documents import with_validity
-from viewtide.parts import current_version, manifest, read_parts, replace_parts
+from viewtide.parts import State, read_parts, replace_parts, state_of
 from viewtide.storage import scratch_path
 
 _LOAD_ORDER = ("file_path", "block_start", "line_id")
@@ -54,9 +54,9 @@ def _bucket(buckets: int) -> Column:
     return F.concat(F.lpad(number, len(str(buckets)), "0"), F.lit(f"-of-{buckets}"))
 
 
-def serving_buckets(spark: SparkSession, path: str) -> int | None:
-    """Into how many buckets the table is divided, ``None`` before the first load."""
-    return next((int(name.rpartition("-")[2]) for name in manifest(spark, path)), None)
+def _divided(state: State) -> int | None:
+    """Into how many buckets a table is divided, ``None`` before the first load."""
+    return next((int(name.rpartition("-")[2]) for name in state.folders), None)
 
 
 def publish_docs(incoming: DataFrame, path: str, buckets: int = BUCKETS) -> list[str]:
@@ -68,35 +68,39 @@ def publish_docs(incoming: DataFrame, path: str, buckets: int = BUCKETS) -> list
     are brought together in a single shuffle that also serves the merge.
     """
     spark = incoming.sparkSession
-    divided = serving_buckets(spark, path) or buckets
+    state = state_of(spark, path)
+    divided = _divided(state) or buckets
     staged = scratch_path(spark, "incoming")
     latest = latest_docs(incoming).withColumn("bucket", _bucket(divided))
     latest.write.parquet(staged)
     latest = spark.read.schema(latest.schema).parquet(staged)
     touched = sorted(row["bucket"] for row in latest.select("bucket").distinct().collect())
-    if not touched and current_version(spark, path) is not None:
+    if not touched and state.version is not None:
         return []
-    existing = read_parts(spark, path, _DOC_SCHEMA, touched).withColumn("bucket", _bucket(divided))
+    existing = read_parts(spark, path, _DOC_SCHEMA, touched, state=state).withColumn(
+        "bucket", _bucket(divided))
     newer = F.max_by("doc", "new").alias("doc")
     merged = (existing.withColumn("new", F.lit(0)).unionByName(latest.withColumn("new", F.lit(1)))
               .repartition(max(1, len(touched)), "bucket").groupBy("bucket", *KEY).agg(newer))
-    return replace_parts(merged, "bucket", path, arranged=True, sort=KEY)
+    return replace_parts(merged, "bucket", path, arranged=True, sort=KEY, state=state)
 
 
 def read_serving(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Documents of the current version: ``grain, doc_id, doc``."""
-    if current_version(spark, path) is None:
+    state = state_of(spark, path, version)
+    if state.version is None:
         raise FileNotFoundError(f"nothing published at {path}")
-    return read_parts(spark, path, _DOC_SCHEMA, version=version)
+    return read_parts(spark, path, _DOC_SCHEMA, state=state)
 
 
 def read_document(spark: SparkSession, path: str, grain: str, doc_id: str) -> DataFrame:
     """One document by its key: only the key's bucket is opened, and within its files
     the row groups that may hold the key."""
-    divided = serving_buckets(spark, path)
+    state = state_of(spark, path)
+    divided = _divided(state)
     key = spark.range(1).select(F.lit(grain).alias("grain"), F.lit(doc_id).alias("doc_id"))
     name = [] if divided is None else [key.select(_bucket(divided)).first()[0]]
-    return read_parts(spark, path, _DOC_SCHEMA, name).filter(
+    return read_parts(spark, path, _DOC_SCHEMA, name, state=state).filter(
         (F.col("grain") == grain) & (F.col("doc_id") == doc_id))
 
 
