@@ -5,7 +5,7 @@ import pytest
 from tests.conftest import plan_of
 from viewtide.operators import layout, ranking, rollup, topn
 from viewtide.sinks import write_top_pages
-from viewtide.sources import read_top_pages
+from viewtide.sources import read_top_list, read_top_pages
 
 
 def brute(rows, n, floor=100):
@@ -96,16 +96,19 @@ def test_positions_follow_the_global_order(facts, set_conf, partitions):
         i: page for i, (_, page, _) in enumerate(expected, 1)}
 
 
-def test_lookup_reads_one_grain(spark, facts, tmp_path):
+def test_lookup_reads_one_part(spark, facts, tmp_path):
     daily = facts(*skewed())
     lists = {"day": ranking.top_pages(daily, "day", 10),
              "month": ranking.top_pages(rollup.monthly_views(daily), "month", 10)}
-    write_top_pages(ranking.tagged_lists(lists), str(tmp_path / "lists"))
-    table = read_top_pages(spark, str(tmp_path / "lists"))
-    month = ranking.top_pages_for(table, "month", "201607")
+    path = str(tmp_path / "lists")
+    write_top_pages(ranking.tagged_lists(lists), path)
+    month = read_top_list(spark, path, "month", "201607")
     assert found(month) == found(lists["month"])
-    assert "PartitionFilters: [isnotnull(grain" in plan_of(month)
-    assert ranking.top_pages_for(table, "day", "201607").count() == 0
+    assert all("_part=month-201607" in name for name in month.inputFiles())
+    assert read_top_list(spark, path, "day", "201607").count() == 0
+    assert read_top_list(spark, path, "year", "2016").count() == 0
+    table = read_top_pages(spark, path)
+    assert found(ranking.top_pages_for(table, "month", "201607")) == found(month)
 
 
 @pytest.mark.parametrize("level", ["MEMDISK", "DISK", "disk"])
