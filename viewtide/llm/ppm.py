@@ -54,9 +54,6 @@ SYMBOLS = 256
 END_WORD = "\n"
 SHORT = 2  # bytes of the contexts that every task gets
 
-_UPPER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
-_SPACES = dict.fromkeys((9, 10, 11, 12, 13), " ")
-
 CHUNKS = ("chunk LONG, doc_id LONG, held_out BOOLEAN, tokens STRING, word STRING, "
           "gram LONG, n LONG")
 SCORES = ("doc_id LONG, held_out BOOLEAN, n_tokens LONG, n_known LONG, train_tokens LONG, "
@@ -69,8 +66,9 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 
 def tokens_of(text: str | None) -> str:
     """Words with one space between; only ASCII white space separates words."""
-    spaced = (text or "").translate(_UPPER | _SPACES)
-    return " ".join(filter(None, spaced.split(" ")))
+    # Bytes know no other letters and no other white space than ASCII.
+    octets = (text or "").encode("utf-8", "surrogatepass").lower()
+    return b" ".join(octets.split()).decode("utf-8", "surrogatepass")
 
 
 def grams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -307,6 +305,9 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = FOLDS,
     def kept(frame: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         frame.write.parquet(path)
+        # Spark drops the shuffle files of a finished step only with the garbage of the
+        # driver, which may come after the disks are full.
+        spark.sparkContext._jvm.System.gc()
         return spark.read.schema(frame.schema).parquet(path)
 
     used_words = table.filter("word IS NOT NULL").select("chunk", "word", "n")
@@ -317,10 +318,11 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = FOLDS,
     total = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"),
                       F.count_if(F.col("count") > 0).alias("kinds")).first()
     few = F.broadcast(values) if values.count() <= BROADCAST_GRAMS else values
-    used = used_words.join(words, "word").select(
+    used = kept(used_words.join(words, "word").select(
         "chunk", "word", F.lit(-1).cast("long").alias("gram"),
         F.col("count").cast("double").alias("value")).unionByName(
-        used_grams.join(few, "gram").select("chunk", F.lit("").alias("word"), "gram", "value"))
+        used_grams.join(few, "gram").select("chunk", F.lit("").alias("word"), "gram", "value")),
+        "used")
     scored = partial(_score, order=order, train_tokens=total["tokens"], vocabulary=total["kinds"],
                      smoothing=smoothing)
 
