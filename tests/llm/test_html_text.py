@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -93,3 +94,23 @@ def test_short_blocks_without_article():
     assert html_text.extract(page).split("\n")[1:] == [f"row {i}" for i in range(9)]
     page = f"<p>{long}</p><div class=ad>" + "<p>Buy</p>" * 4 + "</div><p>tail</p>"
     assert html_text.extract(page) == long.strip()
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>One.</p><script src=a.js />var x = 1;</script><p>Two.</p></article>",
+    "<article><p>One.</p><div class=sidebar/>Offers</div><p>Two.</p></article>",
+    "<article><p>One.</p><p><a href=/docs/>Two.</a></p></article>",
+    "<article><p>One.</p><nav/><a href='x'>Menu</a></nav><p>Two.</p></article>",
+    '<article><p>One.</p><svg/><p>Two.</p></article>',
+    '<article><p>One.</p><a name="x"/><p>Two.</p></article>',
+    '<article><p>One.</p><svg><path d="m"/><circle/></svg><p>Two.</p></article>'])
+def test_a_slash_closes_foreign_elements_only(page):
+    assert html_text.extract(page) == "One.\nTwo."
+
+
+@pytest.mark.parametrize("piece", ["<b>", "</i>", "<b></i>", "<div>", "</div>", "<p>x", "<nav>"])
+def test_unpaired_tags_take_linear_time(piece):
+    page = piece * (400_000 // len(piece)) + "<article><p>Text of the page.</p></article>"
+    start = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - start < 8

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from functools import cache
 from itertools import accumulate
 
@@ -38,6 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style title textarea iframe noframes noembed xmp".split())
 CONTROLS = frozenset("button select".split())
 STANDINS = frozenset("noscript template svg object canvas audio video".split())
+FOREIGN = frozenset("svg math".split())
 DROPPED = frozenset("nav footer aside form menu dialog search".split())
 BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -91,6 +93,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """
     lines: list[tuple[str, int, bool]] = []
     open_tags: list[tuple[str, bool]] = []  # element, whether it is boilerplate
+    n_open: Counter[str] = Counter()
     text: list[str] = []
     linked = 0
     dropped = links = articles = 0
@@ -111,6 +114,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     def close(depth: int) -> None:
         nonlocal dropped, links, articles
         for tag, boilerplate in open_tags[depth:]:
+            n_open[tag] -= 1
             dropped -= boilerplate
             links -= tag == "a"
             articles -= tag in ("article", "main")
@@ -141,6 +145,13 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             end_line()
         elif tag == "br" and not dropped:
             text.append(" ")
+        # Only foreign elements close themselves; elsewhere the slash means nothing, but for
+        # an anchor without a target, which holds no text.
+        closed = attributes.endswith("/") and (
+            tag in FOREIGN or any(n_open[name] for name in FOREIGN)
+            or tag == "a" and "href" not in attributes.lower())
+        if slash and not n_open[tag]:
+            continue
         if slash:
             depth = next((i for i in range(len(open_tags) - 1, -1, -1)
                           if open_tags[i][0] == tag), None)
@@ -148,9 +159,11 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 close(depth)
         elif tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            if not attributes.endswith("/"):
-                at = end.end() if end else len(page)
-        elif tag not in VOID and not attributes.endswith("/"):
+            if end:
+                at = end.end()
+            elif not attributes.endswith("/"):
+                at = len(page)
+        elif tag not in VOID and not closed:
             if tag in CONTROLS or tag in STANDINS:
                 # One that is never closed ends with its parent, or else is no element.
                 boilerplate = last_close(tag) >= at or tag in CONTROLS and any(
@@ -169,6 +182,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 if depth is not None and open_tags[depth][0] == "p":
                     close(depth)
             open_tags.append((tag, boilerplate))
+            n_open[tag] += 1
             dropped += boilerplate
             links += tag == "a"
             articles += tag in ("article", "main")
