@@ -66,3 +66,20 @@ def test_awkward_rows(spark, awkward, clashing, table):
     nothing = table("benchmark").filter("false")
     assert d.drop_contaminated(wide, nothing).count() == awkward.count()
     assert d.drop_contaminated(wide.filter("false"), table("benchmark")).count() == 0
+
+
+def test_fingerprints_find_items_without_the_shingle_index(table, monkeypatch):
+    """The same matches when every window is asked and shared shingles choose nothing."""
+    texts = tuple(row["text"] for row in table("benchmark").collect())
+    items = d.Items(texts, d.SHINGLE, d.SIMILARITY, d.RADIUS)
+    docs = [row["text"] for row in table("documents").select("text").collect()
+            if row["text"] and len(row["text"]) < 6000]
+    expected = [items.matches(text) for text in docs]
+    assert sum(map(bool, expected)) >= 3
+
+    def refused(*_):
+        raise AssertionError("the shingle index was asked")
+    monkeypatch.setattr(items, "shared", refused)
+    for text, found in zip(docs, expected, strict=True):
+        if found or len(text) < 1500:
+            assert items.matches(text, every_window=True) == found

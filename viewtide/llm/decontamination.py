@@ -6,13 +6,12 @@ shingles over all of both, each weighted by how often it occurs.
 
 The items are the bounded side. They are read in blocks of a few megabytes, and
 each block meets all documents without a shuffle; all blocks stay in the plan, so the
-whole benchmark has to fit into the driver and every worker. In a pass, every window that shares enough shingles
-to reach the similarity gets a fingerprint. A multi-index over eight blocks of
-bits confirms the items whose fingerprint lies within the radius: two
-fingerprints within it differ by at most ``radius // 8`` bits in some block, so
-none is missed. Confirmed items are verified on the words themselves. The shingle
-count that comes first makes the candidates, item and window; it loses nothing,
-because a similarity implies it.
+whole benchmark has to fit into the driver and every worker. In a pass, every window
+that shares enough shingles with some item to reach the similarity gets a fingerprint;
+this saves fingerprints and loses nothing, because a similarity implies it. From the
+fingerprint a multi-index over eight blocks of bits proposes all items within the radius:
+two fingerprints within it differ by at most ``radius // 8`` bits in some block, so none
+is missed. Proposed items are verified on the words themselves.
 
 Words are runs of letters, digits and underscores, lower-cased. A document
 shorter than an item is one window. Items of fewer words than a shingle, null
@@ -164,28 +163,41 @@ class Items:
         starts = [np.arange(a, b + 1) for a, b in zip(low, high, strict=True)]
         return np.unique(np.concatenate(starts or [np.empty(0, np.int64)])), count
 
-    def matches(self, text: str | None) -> list[tuple[int, int, int, float]]:
-        """Matched items ``(item, first word, words, similarity)``, the best window of each."""
+    def matches(self, text: str | None, every_window: bool = False
+                ) -> list[tuple[int, int, int, float]]:
+        """Matched items ``(item, first word, words, similarity)``, the best window of each.
+
+        Windows are worth a fingerprint where they share enough shingles with some item of
+        their size; ``every_window`` asks for all of them and gives the same. Which items a
+        window may match, the multi-index proposes from its fingerprint alone.
+        """
         words = words_of(text)
         hashes = shingle_hashes(words, self.shingle)
         if not len(hashes) or not len(self.hashes):
             return []
-        found = []
-        for item, places in self.shared(hashes).items():
-            starts, count = self.windows(places, item, len(hashes))
-            if not len(starts):
-                continue
-            rows, index = self.index[self.counts[item]]
-            best = (0.0, 0)
-            marks = window_fingerprints(hashes, starts, count)
-            for start, mark in zip(starts.tolist(), marks.tolist(), strict=True):
-                if any(rows[i] == item for i in index.near(mark)):
-                    window = words[start:start + count + self.shingle - 1]
+        asked: dict[int, list[np.ndarray]] = {}
+        if every_window:
+            asked = {size: [np.arange(len(hashes) - min(size, len(hashes)) + 1)]
+                     for size in self.index}
+        else:
+            for item, places in self.shared(hashes).items():
+                starts, _ = self.windows(places, item, len(hashes))
+                if len(starts):
+                    asked.setdefault(self.counts[item], []).append(starts)
+        best: dict[int, tuple[float, int, int]] = {}
+        for size, chosen in asked.items():
+            rows, index = self.index[size]
+            count = min(size, len(hashes))
+            starts = np.unique(np.concatenate(chosen))
+            for start, mark in zip(starts.tolist(), window_fingerprints(
+                    hashes, starts, count).tolist(), strict=True):
+                window = words[start:start + count + self.shingle - 1]
+                for item in {rows[i] for i in index.near(mark)}:
                     value = similarity_of(window, self.words[item], self.shingle)
-                    best = max(best, (value, -start))
-            if best[0] >= self.similarity:
-                found.append((item, -best[1], count + self.shingle - 1, best[0]))
-        return sorted(found)
+                    best[item] = max(best.get(item, (0.0, 0, 0)), (value, -start, count))
+        return sorted((item, -start, count + self.shingle - 1, value)
+                      for item, (value, start, count) in best.items()
+                      if value >= self.similarity)
 
 
 @lru_cache(maxsize=4)
