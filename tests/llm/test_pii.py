@@ -126,3 +126,26 @@ def test_card_beside_a_short_number(spark, text):
                            "k", found="found").first()
     assert [f["kind"] for f in row["found"]] == ["card"]
     assert row["text"] == "to " + text.format(row["found"][0]["pseudonym"]) and card not in row["text"]
+
+
+@pytest.mark.parametrize("text", [
+    "5" * 1_000_000, "12 " * 70_000, "1 " * 100_000, "a@" + "b." * 500_000 + "com",
+    "12-" * 100_000, "x" * 1_000_000 + "@", "AB12 " * 200_000, "1.2.3." * 100_000,
+    "+1 " * 200_000, "01/02/" * 100_000, "password = " * 50_000])
+def test_long_monotonous_texts(spark, text):
+    """No pattern recurses with the length of a run, so no executor runs out of stack."""
+    card = "4111 1111 1111 1111"
+    rows = spark.createDataFrame([(1, text + "\npay " + card + " now")], "doc_id LONG, text STRING")
+    row = pii.pseudonymize(rows, "k", found="found").select("text", "found").first()
+    assert [hit.kind for hit in row["found"]][-1] == "card" and card not in row["text"]
+    assert len(row["text"]) == len(text) + len(card) + 9
+
+
+@pytest.mark.parametrize("text", [
+    "4111 1111 1111 1111 2nd", "pay 4111 1111 1111 1111 12.50 now", "4111111111111111.50",
+    "4111 1111 1111 1111-x", "7 4111-1111-1111-1111 8", "4111 1111 1111 1111 12ab 5"])
+def test_cards_beside_other_groups(spark, text):
+    rows = spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")
+    row = pii.pseudonymize(rows, "k", found="found").first()
+    kinds = [hit.kind for hit in row["found"]]
+    assert kinds == (["card"] if text != "4111 1111 1111 1111-x" else [])

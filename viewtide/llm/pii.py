@@ -17,7 +17,8 @@ Kinds: ``email``, ``iban`` (checksum 97), ``card`` (13 to 19 digits, Luhn; the
 first digit stays), ``ssn``, ``ip`` (version 4), ``date`` (year first, month
 first or day first; real dates of the years 1 to 9999), ``phone`` (the country code stays) and
 ``secret`` (access keys and values of password-like settings). What fails its
-validation stays as it is. A null text stays null, an empty one empty; repeated
+validation stays as it is. Numbers that follow each other are searched for cards in runs
+of 128 groups; a card across the border of two such runs is not found. A null text stays null, an empty one empty; repeated
 rows are treated alike; all other text is kept to the character.
 """
 
@@ -30,7 +31,7 @@ ROUNDS = 8
 WALK = 64
 
 # How the kinds look.
-_EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
+_EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,}"
 # Lengths of account numbers by country; other lengths and countries are tried after them.
 _IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
@@ -48,9 +49,19 @@ _IP = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)"
 _DATE = (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}"
          r"|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)")
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-# A whole run of digits; the cards are looked for inside it, at borders of its groups.
-_RUN = r"(?<![\w+-])\d(?:[ -]?\d){12,}"
-_CARD = rf"{_RUN}(?![\w-]|[./]\d)|{_RUN}(?![\w-])"
+# A run of groups of digits; the cards are looked for inside it, at borders of its groups.
+# Loops over groups are possessive, which Java walks without recursion however long the
+# run is: a group that touches a letter, or a hyphen before something else, is refused
+# where it begins. A longer run is divided after GROUPS groups. No card has a group of
+# more than 19 digits, and what follows 13 digits is checked by looking back.
+GROUPS = 128
+_GROUP = r"\d{1,19}+(?![\w]|-(?!\d))"
+_TAIL_GROUP = r"\d{1,19}+(?![\w]|-(?!\d)|[./]\d)"
+_LONG = r"(?<=\d[ -]?" + r"\d[ -]?" * 11 + r"\d)"
+_CARD = "|".join(rf"(?<![\w+-]){_GROUP}(?:[ -]{group}){{0,{GROUPS - 1}}}+{_LONG}(?![\w-])"
+                 for group in (_TAIL_GROUP, _GROUP))
+# The longest card with its separators, and the character behind it.
+_CARD_REACH = 38
 _CARD_FORMS = (r"^\d{13,19}(?!\d)", r"^\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?!\d)",
                r"^\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)", r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}(?!\d)")
 _CARD_SIZES = tuple(rf"^\d(?:[ -]?\d){{{size - 1}}}(?!\d)" for size in (16, 15, 14, 13, 17, 18, 19))
@@ -322,7 +333,7 @@ def _piece(value: Column, kind: Column) -> Column:
 def _with_cards(run: Column, forms: tuple) -> Column:
     """Pieces of a run of digits: valid cards of the forms, from the left, and what is between."""
     def card_at(i: Column) -> Column:
-        rest = F.substr(run, i, F.length(run))
+        rest = F.substr(run, i, F.lit(_CARD_REACH))
         return F.get(F.filter(F.array(*[F.regexp_extract(rest, form, 0) for form in forms]),
                               lambda c: (c != "") & (luhn_sum(_digits(c)) % 10 == 0)), F.lit(0))
 
