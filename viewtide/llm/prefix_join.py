@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.llm.graph import components, stored
+from viewtide.llm.simhash import first_order
 
 # Words, and the case that is folded.
 _SPACE = np.zeros(256, bool)
@@ -63,6 +64,8 @@ _MOST_BITS = 1 << 27
 _SEED = 13
 # Bytes of text hashed at once.
 _SLICE = 1 << 18
+# Rows whose sets a worker holds at once.
+_ROWS = 1 << 10
 _random = np.random.default_rng(_SEED)
 _BYTES = _random.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTES[_SPACE] = _BYTES[0x20]
@@ -162,25 +165,32 @@ def _text_key(text: Column) -> list[Column]:
 _KEY = ["t1", "t2", "t3"]
 
 
+def _repeated(tokens: np.ndarray) -> pd.DataFrame:
+    """Tokens found at least ``REPEATED`` times, and their counts. Sorts its argument."""
+    tokens.sort()
+    apart = REPEATED - 1
+    token = np.unique(tokens[apart:][tokens[apart:] == tokens[:len(tokens) - apart]]) if len(
+        tokens) > apart else np.empty(0, np.int64)
+    n = np.searchsorted(tokens, token, "right") - np.searchsorted(tokens, token, "left")
+    return pd.DataFrame({"token": token, "n": n}, dtype="i8")
+
+
 def _frequent(docs: DataFrame, shingle: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and their counts."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-
-        def repeated() -> pd.DataFrame:
-            tokens = np.sort(np.concatenate([np.empty(0, np.int64), *held]))
-            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])
-                                   ) if len(tokens) else np.empty(0, np.int64)
-            n = np.diff(np.append(first, len(tokens)))
-            return pd.DataFrame({"token": tokens[first[n >= REPEATED]], "n": n[n >= REPEATED]})
+        # One buffer, filled and sorted in place: a worker needs no second copy of it.
+        held, size = np.empty(COUNTED, np.int64), 0
         for batch in batches:
             for text in batch["text"]:
-                held.append(shingle_set(text, shingle))
-                size += len(held[-1])
-                if size > COUNTED:
-                    yield repeated()
-                    held, size = [], 0
-        yield repeated()
+                found = shingle_set(text, shingle)
+                while len(found):
+                    if size == COUNTED:
+                        yield _repeated(held)
+                        size = 0
+                    part, found = found[:COUNTED - size], found[COUNTED - size:]
+                    held[size:size + len(part)] = part
+                    size += len(part)
+        yield _repeated(held[:size])
     found = docs.select("text").mapInPandas(counted, "token LONG, n LONG").groupBy("token").agg(
         F.sum("n").alias("n")).orderBy(F.col("n").desc(), "token").limit(hot).toPandas()
     found = found.sort_values("token")
@@ -199,7 +209,8 @@ def _marks(docs: DataFrame, shingle: int, percent: int, hot: np.ndarray, rank: n
                          for v in values], np.uint64).reshape(-1, 2).view(np.int64)
 
     def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (whole.iloc[at:at + _ROWS] for whole in batches
+                      for at in range(0, len(whole), _ROWS)):
             sets = [shingle_set(text, shingle) for text in batch["text"]]
             prefixes = [ordered_prefix(s, hot, rank, percent) for s in sets]
             of_sets, of_prefixes = digests(sets), digests(prefixes)
@@ -461,13 +472,9 @@ def _joined(nodes: DataFrame, prefixes: DataFrame, docs: DataFrame, shingle: int
     return components(stored(links.unionByName(more).distinct(), "all_links"))
 
 
-def link_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-                   crowd: int = CROWD, block: int = BLOCK, hot: int = HOT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
-
-    Texts are linked where ``100 * common >= percent * union``; ``component_id`` is the
-    smallest id that links reach.
-    """
+def _linked(docs: DataFrame, shingle: int, percent: int, crowd: int, block: int, hot: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """The marks of every row, and ``h1, h2, least_id, component`` of every set with words."""
     rows = stored(_marks(docs, shingle, percent, *_frequent(docs, shingle, hot)), "marks")
     full_rows = rows.filter("size > 0")
     distinct = full_rows.groupBy("h1", "h2", "g1", "g2", "size").agg(
@@ -478,14 +485,43 @@ def link_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
         "least_id"), "nodes")
     prefixes = full_rows.groupBy("g1", "g2", "size").agg(F.first("prefix").alias("prefix"))
     linked = _joined(nodes, prefixes, docs, shingle, percent, crowd, block)
-    own = nodes.select("node", "h1", "h2", "least_id").join(linked, "node", "left").select(
+    return rows, nodes.select("node", "h1", "h2", "least_id").join(linked, "node", "left").select(
         "h1", "h2", "least_id", F.coalesce("component", "node").alias("component"))
+
+
+def link_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                   crowd: int = CROWD, block: int = BLOCK, hot: int = HOT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    Texts are linked where ``100 * common >= percent * union``; ``component_id`` is the
+    smallest id that links reach.
+    """
+    rows, own = _linked(docs, shingle, percent, crowd, block, hot)
     least = own.groupBy("component").agg(F.min("least_id").alias("component_id"))
     found = stored(own.join(least, "component").select("h1", "h2", "component_id"), "found")
     size = F.col("size").cast("long").alias("n_shingles")
-    return full_rows.select("doc_id", size, "h1", "h2").join(found, ["h1", "h2"]).select(
-        "doc_id", "n_shingles", "component_id").unionByName(rows.filter("size = 0").select(
-            "doc_id", size, F.col("doc_id").alias("component_id")))
+    return rows.filter("size > 0").select("doc_id", size, "h1", "h2").join(
+        found, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id").unionByName(
+        rows.filter("size = 0").select("doc_id", size, F.col("doc_id").alias("component_id")))
+
+
+def first_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                crowd: int = CROWD, block: int = BLOCK, hot: int = HOT) -> DataFrame:
+    """``component, doc_id, text_hash, n``: the first text of every distinct set, with the
+    number of its rows. Wordless texts are one set, in component -1.
+
+    Sets are reduced before they meet their component, so copies are no hot key.
+    """
+    rows, own = _linked(docs, shingle, percent, crowd, block, hot)
+    texts = rows.groupBy("h1", "h2", "size", "doc_id", F.col("t1").alias("text_hash")).agg(
+        F.count("*").alias("n"))
+    first = stored(texts.groupBy("h1", "h2", (F.col("size") > 0).alias("worded")).agg(
+        F.min(first_order("n")).alias("first")), "first")
+    worded = first.filter("worded").join(own.select("h1", "h2", "component"), ["h1", "h2"])
+    return worded.unionByName(
+        first.filter("not worded").withColumn("component", F.lit(-1).cast("long")),
+        allowMissingColumns=True).select(
+        "component", "first.doc_id", "first.text_hash", "first.n")
 
 
 # The same links in SQL: all pairs of documents that share a shingle are counted.

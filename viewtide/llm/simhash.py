@@ -220,9 +220,19 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
 def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The document of the smallest id of every component; ``rows`` has
     ``doc_id, text_hash, component`` of all documents."""
-    texts = rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n"))
-    first = texts.groupBy("component").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "n")).alias("first"))
+    return keep_text(docs, rows.groupBy("component", "doc_id", "text_hash").agg(
+        F.count("*").alias("n")))
+
+
+def first_order(*more: str) -> Column:
+    """Which text of a component stays is the least by this."""
+    return F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", *more)
+
+
+def keep_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The first document of every component; ``texts`` has ``component, doc_id, text_hash``
+    and the number ``n`` of rows, at least for the first text of every component."""
+    first = texts.groupBy("component").agg(F.min(first_order("n")).alias("first"))
     keys = stored(first.select(F.col("first.doc_id").alias("_viewtide_id"),
                                F.col("first.text_hash").alias("_viewtide_hash"),
                                F.col("first.n").alias("_n")), "representatives")
