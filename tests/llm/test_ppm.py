@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import SF_DIR
@@ -96,3 +97,26 @@ def test_no_training_documents_and_no_documents(spark, documents):
     assert (row["n_known"], row["train_tokens"]) == (0, 0)
     assert row["score"] == pytest.approx(-3 * math.log10(256))
     assert ppm.score(documents((alone, "ab")).filter("false")).count() == 0
+
+
+def test_packed_numbers_and_parts():
+    numbers = np.array([0, 1, -1, 1 << 47, 5, 5, 5], np.int64)
+    assert ppm.unpacked(ppm.packed(numbers)).tolist() == numbers.tolist()
+    assert ppm.unpacked(ppm.packed(numbers[:0])).tolist() == []
+    keys, counts = ppm.counted_grams(["one two three", "two three four"])
+    found = ppm.dealt(keys, counts, 5)
+    grams, number = (np.concatenate([ppm.unpacked(row[i]) for row in found]) for i in (1, 2))
+    assert dict(zip(grams.tolist(), number.tolist())) == dict(zip(keys.tolist(), counts.tolist()))
+    assert len(grams) == len(keys) and len({row[0] for row in found}) == len(found) > 1
+    contexts = [{gram >> 8 & 0xFFFFFF for gram in ppm.unpacked(row[1]).tolist()} for row in found]
+    assert len(set.union(*contexts)) == sum(map(len, contexts))
+
+
+def test_a_chunk_has_a_packed_row_per_part_and_none_per_gram_or_word(spark, table):
+    docs = table("documents").select("doc_id", "text")
+    rows = ppm.chunked(docs.coalesce(1), chunk_bytes=1 << 30, parts=7)
+    distinct = len(np.unique(ppm.grams([ppm.tokens_of(r["text"]) for r in docs.collect()])[0]))
+    found = rows.filter("grams IS NOT NULL").collect()
+    assert len(found) == 7 == rows.filter("words IS NOT NULL").count()
+    assert sum(len(ppm.unpacked(r["grams"])) for r in found) == distinct
+    assert rows.count() == 15 + rows.filter("low IS NOT NULL").count()
