@@ -111,3 +111,12 @@ def test_one_row_of_a_group_stays(awkward, clashing):
     kept = simhash.drop_near_duplicates(wide)
     assert kept.columns == wide.columns
     assert sorted((row["doc_id"] or -1) for row in kept.collect()) == [-1, 1, 4, 5]
+
+
+def test_exploded_index_is_never_broadcast(spark, set_conf):
+    """Spark takes the index of 64 rows a fingerprint for one of a row each."""
+    set_conf("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    marks = spark.createDataFrame([(i,) for i in range(50)], "f LONG")
+    plan = simhash.links(marks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2
+    assert not re.search(r"BroadcastHashJoin .*\bInner\b", plan)

@@ -154,13 +154,19 @@ def forest(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int,
 def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD,
           block: int = BLOCK) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints that connect all pairs within
-    the radius. ``marks`` has one row per fingerprint, in column ``f``."""
-    index = marks.select("f", F.explode(variants(F.col("f"), radius)).alias("key"))
+    the radius. ``marks`` has one row per fingerprint, in column ``f``.
+
+    Spark sizes the index as if each fingerprint had one row, not one per variant. It would
+    broadcast it, so the joins on it are merged whatever the size, and it would make all of
+    it in a few tasks, so the fingerprints are dealt out first.
+    """
+    parts = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = marks.repartition(parts, "f").select("f", F.explode(variants(F.col("f"), radius)).alias("key"))
     crowded = stored(index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > crowd),
                      "crowded")
     few = index.join(crowded, "key", "left_anti")
     left, right = (few.select("key", F.col("f").alias(name)) for name in ("a", "b"))
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
+    pairs = left.join(right.hint("merge"), (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
                       & (_differing("a", "b") <= radius)).select("a", "b").distinct()
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
@@ -168,7 +174,7 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD,
         return pd.DataFrame(forest(values[~second], values[second], radius),
                             columns=["a", "b"], dtype="i8")
 
-    many = (index.join(crowded, "key")
+    many = (index.join(crowded.hint("merge"), "key")
             .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int")))
     dealt = many.select(
