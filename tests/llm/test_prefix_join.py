@@ -1,10 +1,12 @@
 import itertools
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from viewtide.llm import prefix_join
+from viewtide.storage import shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -130,3 +132,28 @@ def test_awkward_rows(awkward, clashing, documents):
     assert found(clashing(awkward)) == plain(rows)
     assert found(documents((None, "a b c d e f"), (None, "a b c d e f"))) == [(None, 2, None)] * 2
     assert found(awkward.filter("false")) == []
+
+
+def test_work_grows_with_the_nodes_of_a_cluster(documents, monkeypatch):
+    """Near copies of one text are linked by stars, and a text is shipped to one place."""
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, changed(base, i)) for i in range(100)]
+    asked, verified = [], prefix_join._verified
+
+    def counted(pairs, *more):
+        asked.append(pairs.count())
+        return verified(pairs, *more)
+    monkeypatch.setattr(prefix_join, "_verified", counted)
+    assert found(documents(*rows)) == plain(rows)
+    assert sum(asked) <= 2 * len(rows)
+
+
+def test_candidates_larger_than_a_block(spark, documents, monkeypatch):
+    """Pairs meet in the blocks of their nodes; prefixes are deleted when they are used up."""
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("viewtide-*/*"))
+    rows = near_copies()
+    monkeypatch.setattr(prefix_join, "_BLOCK_SHINGLES", 2000)
+    assert found(documents(*rows)) == plain(rows)
+    left = {path.name for path in set(folder.glob("viewtide-*/*")) - before}
+    assert "rows" in left and not left & {"marks", "prefixes"}

@@ -10,9 +10,9 @@ from viewtide.storage import scratch_path
 MAX_ROUNDS = 50
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Writes a table to the shared folder and reads it back: its lineage ends here."""
-    path = scratch_path(frame.sparkSession, name)
+    path = path or scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

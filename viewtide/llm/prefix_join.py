@@ -14,15 +14,22 @@ Equal sets are one node. Nodes of equal prefix and size form a group, and groups
 joined instead of nodes: on a shared shingle, with the bounds that size and position
 allow. Pairs of groups are expanded to members and verified on whole sets:
 
-1. every member is compared with the least member of its group, and the least members
-   of joined groups with each other (in a crowded shingle with the least of a similar
-   size), which links nearly all that belongs together;
-2. what may still hold unlinked similar members (a group, a pair of groups, a crowded
+1. every member is compared with the least member of its group, and the least member of
+   every group with that of the group it shares most shingles with, among the least groups
+   of its shingles (in a crowded shingle also with the least of a similar size). These are
+   no more pairs than groups, and they link most of what belongs together;
+2. the least members of any two joined groups that are not connected yet are compared;
+3. what may still hold unlinked similar members (a group, a pair of groups, a crowded
    shingle whose members are in more than one component; shingles with the same least
    group are one unit) is compared completely: its members are dealt into blocks, two
    blocks that are not connected yet meet once, and their common shingles are counted by
    an inverted index. A group of a task never holds more than two blocks.
 
+Pairs that hang together are verified in one place, to which the text of every node goes
+once, so what is shuffled grows with the nodes and not with the pairs; only a component of
+pairs that is larger than a block is dealt into blocks, and pairs meet where theirs do.
+Large tables are deleted as soon as what follows from them is written.
+
 No member, group or candidate is left out, whatever the skew.
 
 Cases: null and wordless texts have the empty set and are linked with nothing. A text
@@ -33,6 +40,7 @@ empty table gives an empty result. Other columns are ignored, whatever their nam
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,6 +50,7 @@ from pyspark.sql import functions as F
 
 from viewtide.llm.graph import components, stored
 from viewtide.llm.simhash import first_order
+from viewtide.storage import remove, scratch_path
 
 # Words, and the case that is folded.
 _SPACE = np.zeros(256, bool)
@@ -52,8 +61,9 @@ SHINGLE = 5
 PERCENT = 80
 # Groups that share a shingle are joined in pairs up to CROWD, otherwise by stars.
 CROWD = 256
-# Members of one block of an exhaustive comparison.
-BLOCK = 192
+# Members of one block of an exhaustive comparison, and shingles of all its members.
+BLOCK = 1024
+_BLOCK_SHINGLES = 1 << 19
 # Shingles that are moved to the end of the order, at most; they repeat at least REPEATED
 # times within COUNTED shingles of one task.
 HOT = 1 << 16
@@ -144,13 +154,13 @@ def reaches(both, size_a, size_b, percent: int = PERCENT):
     return 100 * both >= percent * (size_a + size_b - both)
 
 
-def _heavy(frame: DataFrame, name: str) -> DataFrame:
+def _heavy(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Writes a table that took a wide shuffle and lets Spark drop that shuffle's files.
 
     It keeps them until the driver collects its garbage, which a driver that mostly waits
     may not do before the disks of the executors are full.
     """
-    table = stored(frame, name)
+    table = stored(frame, name, path)
     frame.sparkSession.sparkContext._jvm.System.gc()
     return table
 
@@ -246,28 +256,88 @@ def _maybe_wanted(wanted: DataFrame) -> Callable[[Column], Column]:
     return lambda key: known(F.pmod(key, F.lit(bits)))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, set`` of the wanted ``node`` and text keys, each once."""
-    @F.pandas_udf("array<long>")
-    def made(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: shingle_set(text, shingle))
+def _shipped(docs: DataFrame, nodes: DataFrame, places: DataFrame) -> DataFrame:
+    """The text of every node at each of its places: ``places`` with ``node`` and a ``text``.
+
+    Copies of a text are reduced to one in every task, before they are shuffled.
+    """
+    columns = [name for name in places.columns if name != "node"]
+    wanted = stored(nodes.select("node", *_KEY).join(places.groupBy("node").agg(
+        F.collect_list(F.struct(*columns)).alias("places")), "node"), "wanted")
     texts = docs.select("text", *_text_key(F.col("text"))).filter(
-        _maybe_wanted(wanted)(F.col("t1")))
-    # The node follows from the key, so this groups within the partitions of the join.
-    once = texts.join(wanted.select("node", *_KEY), _KEY).groupBy(*_KEY, "node").agg(
-        F.first("text").alias("text"))
-    return once.select("node", made("text").alias("set"))
+        _maybe_wanted(wanted)(F.col("t1"))).groupBy(*_KEY).agg(F.first("text").alias("text"))
+    return texts.join(wanted, _KEY).select(
+        "node", "text", F.explode("places").alias("place")).select("node", "text", "place.*")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that reach the similarity."""
-    @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([reaches(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b),
-                                  percent) for a, b in zip(left, right, strict=True)], dtype=bool)
-    return (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-            .filter(similar("x", "y")).select("a", "b"))
+def _parts(n: Column, shingles: Column, block: int) -> Column:
+    """How many blocks so many members with so many shingles take."""
+    return F.greatest(F.ceil(n / block), F.ceil(shingles / _BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+class _Forest:
+    """Components that links make of nodes, and the links that joined two of them."""
+
+    def __init__(self) -> None:
+        self.parent: dict = {}
+        self.links: list[tuple] = []
+
+    def root(self, node):
+        parent = self.parent
+        while parent.setdefault(node, node) != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    def join(self, a, b) -> bool:
+        first, second = self.root(a), self.root(b)
+        self.parent[first] = second
+        return first != second
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int,
+              block: int) -> DataFrame:
+    """Links ``a, b`` that connect all that the pairs of the similarity connect.
+
+    Pairs that hang together are one component of candidates. Small ones share a block; the
+    nodes of a large one are dealt into blocks of its own, and a pair goes to the blocks of
+    its nodes.
+    """
+    def check(asked: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        sets = {node: shingle_set(text, shingle) for node, text in zip(
+            texts["node"].tolist(), texts["text"], strict=True)}
+        forest = _Forest()
+        for a, b in zip(asked["a"].tolist(), asked["b"].tolist(), strict=True):
+            if forest.root(a) != forest.root(b):
+                x, y = sets[a], sets[b]
+                if reaches(min(len(x), len(y)), len(x), len(y), percent) and reaches(
+                        len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent):
+                    forest.join(a, b)
+                    forest.links.append((a, b))
+        return pd.DataFrame(forest.links, columns=["a", "b"], dtype="i8")
+
+    found = stored(components(pairs).join(nodes.select("node", "size"), "node"), "candidates")
+    sums = [F.count("*").alias("n"), F.sum("size").alias("shingles")]
+    parts = _parts(F.col("n"), F.col("shingles"), block)
+    totals = stored(found.groupBy("component").agg(*sums).withColumn("parts", parts), "totals")
+    pool = totals.filter("parts = 1").agg(
+        F.sum("n").alias("n"), F.sum("shingles").alias("shingles")).select(
+        _parts(F.coalesce("n", F.lit(0)), F.coalesce("shingles", F.lit(0)), block)).first()[0]
+    # At most one large component for every block of nodes.
+    large = F.broadcast(totals.filter("parts > 1").select("component", "parts"))
+    places = stored(found.join(large, "component", "left").select(
+        "node", F.when(F.col("parts") > 1, F.col("component")).otherwise(-1).alias("own"),
+        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), "parts")).otherwise(
+            F.pmod(F.xxhash64("component"), F.lit(pool))).cast("int").alias("part")), "places")
+    dealt = stored(
+        pairs.join(places.select(F.col("node").alias("a"), "own", F.col("part").alias("p")), "a")
+        .join(places.select(F.col("node").alias("b"), F.col("part").alias("q")), "b")
+        .select("own", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "a", "b"),
+        "dealt")
+    key = ["own", "i", "j"]
+    asked = dealt.select(*key, F.explode(F.array("a", "b")).alias("node")).distinct()
+    return dealt.groupBy(*key).cogroup(_shipped(docs, nodes, asked).groupBy(*key)).applyInPandas(
+        check, "a LONG, b LONG")
 
 
 def _may_meet(a: str, b: str, percent: int) -> Column:
@@ -306,54 +376,59 @@ def _ceil_div(value: Column, by: int) -> Column:
 def _forest(nodes: list, known: list, sets: list, second: list, percent: int) -> list[tuple]:
     """Links of a spanning forest between two blocks (one block: given twice), beyond
     the components that are known already."""
-    parent: dict = {}
-
-    def root(node):
-        while parent.setdefault(node, node) != node:
-            parent[node] = parent[parent[node]]
-            node = parent[node]
-        return node
-
+    forest = _Forest()
     for node, component in zip(nodes, known, strict=True):
-        parent[root((0, node))] = root((1, component))
+        forest.join((0, node), (1, component))
+
+    def meet(left: list[int], right: list[int]) -> None:
+        sizes = np.array([len(sets[i]) for i in right], np.int64)
+        values = np.concatenate([sets[i] for i in right] or [np.empty(0, np.int64)])
+        owner = np.repeat(np.arange(len(right)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        for i in left:
+            first = np.searchsorted(values, sets[i], "left")
+            count = np.searchsorted(values, sets[i], "right") - first
+            at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            both = np.bincount(owner[at], minlength=len(right))
+            for j in np.flatnonzero(reaches(both, sizes, len(sets[i]), percent)).tolist():
+                if forest.join((0, nodes[i]), (0, nodes[right[j]])):
+                    forest.links.append((nodes[i], nodes[right[j]]))
+
+    # Members of the largest known component are not compared with each other.
+    most = next((component for component, _ in Counter(known).most_common(1)), None)
     left = [i for i, other in enumerate(second) if not other]
     right = [i for i, other in enumerate(second) if other]
-    sizes = np.array([len(sets[i]) for i in right], np.int64)
-    values = np.concatenate([sets[i] for i in right] or [np.empty(0, np.int64)])
-    owner = np.repeat(np.arange(len(right)), sizes)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    links = []
-    for i in left:
-        first = np.searchsorted(values, sets[i], "left")
-        count = np.searchsorted(values, sets[i], "right") - first
-        at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        both = np.bincount(owner[at], minlength=len(right))
-        for j in np.flatnonzero(reaches(both, sizes, len(sets[i]), percent)).tolist():
-            a, b = root((0, nodes[i])), root((0, nodes[right[j]]))
-            if a != b:
-                parent[a] = b
-                links.append((nodes[i], nodes[right[j]]))
-    return links
-
-
-def _dealt(units: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    meet([i for i in left if known[i] != most], right)
+    if {nodes[i] for i in left} != {nodes[i] for i in right}:
+        meet([i for i in right if known[i] != most], [i for i in left if known[i] == most])
+    return forest.links
+
+
+def _dealt(units: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int,
+           block: int) -> DataFrame:
     """Links inside exhaustive units. ``units`` has ``unit, node, component``.
 
     A large component of a unit has blocks of its own, small ones share blocks. Blocks
     of one large component never meet: their members are connected.
     """
     def meet(group: pd.DataFrame) -> pd.DataFrame:
+        made = [shingle_set(text, shingle) for text in group["text"]]
+        side = group["side"].to_numpy()
+        at = np.concatenate([np.flatnonzero(side != 1), np.flatnonzero(side != 0)])
+        second = np.repeat([False, True], [np.sum(side != 1), np.sum(side != 0)])
+        node, component = (group[name].to_numpy(np.int64)[at] for name in ("node", "component"))
         return pd.DataFrame(_forest(
-            group["node"].tolist(), group["component"].tolist(),
-            [np.asarray(s, np.int64) for s in group["set"]], group["second"].tolist(), percent),
-            columns=["a", "b"], dtype="i8")
-
-    sizes = units.groupBy("unit", "component").agg(F.count("*").alias("n"))
-    large = F.col("n") * 2 > block
-    pools = sizes.groupBy("unit").agg(F.coalesce(F.sum(F.when(~large, F.col("n"))), F.lit(0))
-                                      .alias("pooled"))
-    parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("pooled")) / block).cast("int")
+            node.tolist(), component.tolist(), [made[i] for i in at.tolist()], second.tolist(),
+            percent), columns=["a", "b"], dtype="i8")
+
+    sizes = units.join(nodes.select("node", "size"), "node").groupBy("unit", "component").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    large = (F.col("n") * 2 > block) | (F.col("shingles") * 2 > _BLOCK_SHINGLES)
+    pools = sizes.groupBy("unit").agg(*(F.coalesce(F.sum(F.when(~large, F.col(name))), F.lit(0))
+                                        .alias(f"pooled_{name}") for name in ("n", "shingles")))
+    parts = F.when(large, _parts(F.col("n"), F.col("shingles"), block)).otherwise(
+        _parts(F.col("pooled_n"), F.col("pooled_shingles"), block))
     shares = stored(sizes.join(pools, "unit").select(
         "unit", "component", F.when(large, F.col("component")).otherwise(-1).alias("own"),
         parts.alias("parts")), "shares")
@@ -369,12 +444,14 @@ def _dealt(units: DataFrame, sets: DataFrame, percent: int, block: int) -> DataF
     met = stored(blocks.join(other, "unit").filter(
         (F.col("i") <= F.col("j")) & (F.least("low", "low2") < F.greatest("high", "high2"))
     ).select("unit", "i", "j"), "met")
+    # Side 0 is compared with side 1; a block that meets itself comes once, as side 2.
     members = placed.select("unit", "node", "component", place.alias("i"))
-    left = members.join(met, ["unit", "i"]).withColumn("second", F.lit(False))
-    right = members.withColumnRenamed("i", "j").join(met, ["unit", "j"]).withColumn(
-        "second", F.lit(True))
-    return (left.unionByName(right).join(sets, "node").groupBy("unit", "i", "j")
-            .applyInPandas(meet, "a LONG, b LONG"))
+    left = members.join(met, ["unit", "i"]).withColumn(
+        "side", F.when(F.col("i") == F.col("j"), 2).otherwise(0))
+    right = members.withColumnRenamed("i", "j").join(
+        met.filter("i <> j"), ["unit", "j"]).withColumn("side", F.lit(1))
+    return _shipped(docs, nodes, left.unionByName(right)).groupBy("unit", "i", "j").applyInPandas(
+        meet, "a LONG, b LONG")
 
 
 def _size_band(size: Column, percent: int) -> Column:
@@ -383,45 +460,33 @@ def _size_band(size: Column, percent: int) -> Column:
 
 
 def _joined(nodes: DataFrame, prefixes: DataFrame, docs: DataFrame, shingle: int,
-            percent: int, crowd: int, block: int) -> DataFrame:
+            percent: int, crowd: int, block: int, consumed: str) -> DataFrame:
     """``node, component`` of all linked nodes.
 
     ``nodes`` has ``node``, the text key, ``size`` and the group ``g1, g2``; ``prefixes``
-    has the prefix of every group.
+    has the prefix of every group, from the table ``consumed``, which is deleted.
     """
+    spark = docs.sparkSession
     key = ["g1", "g2", "size"]
     grouped = nodes.groupBy(*key).agg(F.min("node").alias("rep"), F.count("*").alias("members"))
-    groups = _heavy(grouped.join(prefixes, key), "groups")
+    with_prefix = scratch_path(spark, "prefixes")
+    full = _heavy(grouped.join(prefixes, key), "prefixes", with_prefix)
+    remove(spark, consumed)
+    groups = stored(full.drop("prefix"), "groups")
     several = groups.filter("members > 1").select(*key, "rep")
     member_of = stored(nodes.join(several, key).select("node", "rep"), "member_of")
     # Size and position share a number: this is the widest shuffle.
-    index = groups.select("rep", "size", F.posexplode("prefix").alias("pos", "token")).select(
+    index = full.select("rep", "size", F.posexplode("prefix").alias("pos", "token")).select(
         "token", "rep", (F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos")).alias("place"))
-    keys = _heavy(index.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
-    shared = _heavy(index.join(keys, "token").select(
-        "token", "n", "rep", F.shiftright("place", 32).alias("size"),
+    keys = _heavy(index.groupBy("token").agg(
+        F.count("*").alias("n"), F.min("rep").alias("lead")).filter("n > 1"), "keys")
+    # An explode is sized too low: no side of a join on its rows may be broadcast.
+    shared = _heavy(index.join(keys.hint("merge"), "token").select(
+        "token", "n", "lead", "rep", F.shiftright("place", 32).alias("size"),
         F.col("place").bitwiseAND((1 << 32) - 1).alias("pos")), "shared")
+    remove(spark, with_prefix)
 
-    side = F.struct("rep", "size", "pos")
-    few = shared.filter(F.col("n") <= crowd).select("token", side.alias("s"))
-    least, most = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
-    met = few.select("token", F.col("s").alias("a")).join(
-        few.select("token", F.col("s").alias("b")), "token").filter(
-        (F.col("a.rep") < F.col("b.rep")) & (100 * least >= percent * most))
-    counted = met.groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"),
-                          F.col("a.size").alias("p"), F.col("b.size").alias("q")).agg(
-        F.count("*").alias("shared"), F.max("a.pos").alias("last_a"),
-        F.max("b.pos").alias("last_b"), F.bool_or(_may_meet("a", "b", percent)).alias("may"))
     crowds = shared.filter(F.col("n") > crowd)
-    in_crowds = stored(crowds.groupBy("rep").agg(F.count("*").alias("n")), "in_crowds")
-    close = counted.filter("may").join(
-        in_crowds.select(F.col("rep").alias("a"), F.col("n").alias("crowded_a")), "a", "left").join(
-        in_crowds.select(F.col("rep").alias("b"), F.col("n").alias("crowded_b")), "b", "left"
-    ).filter((100 + percent) * _overlap_bound(percent) >= percent * (F.col("p") + F.col("q")))
-    pairs = _heavy(close.select("a", "b"), "group_pairs")
-    wide_groups = several.select("rep")
-    wide = pairs.join(wide_groups.withColumnRenamed("rep", "a"), "a", "left_semi").unionByName(
-        pairs.join(wide_groups.withColumnRenamed("rep", "b"), "b", "left_semi")).distinct()
     # Stars of crowded shingles: in every band of sizes, and across to the next one.
     band = _size_band(F.col("size"), percent)
     many = stored(crowds.select(
@@ -436,25 +501,56 @@ def _joined(nodes: DataFrame, prefixes: DataFrame, docs: DataFrame, shingle: int
         100 * F.least("size", "low_size") >= percent * F.greatest("size", "low_size"))).select(
         F.col("low").alias("a"), F.col("rep").alias("b"))
     inside = member_of.filter("rep < node").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    proposed = stored(pairs.unionByName(stars).unionByName(inside).distinct(),
-                      "proposed")
-
-    def sets_of(asked: DataFrame) -> DataFrame:
-        return _heavy(_sets(docs, nodes.join(asked.distinct(), "node"), shingle), "sets")
-
-    both = proposed.select(F.col("a").alias("node")).unionByName(
-        proposed.select(F.col("b").alias("node")))
-    links = _heavy(_verified(proposed, sets_of(both), percent), "links")
+    # A quarter of a prefix in common makes a pair worth a look before all others.
+    leads = shared.filter("lead < rep").groupBy("rep", "lead").agg(
+        F.count("*").alias("common"), F.max("size").alias("size")).filter(
+        4 * F.col("common") >= F.col("size") - _ceil_div(percent * F.col("size"), 100) + 1).groupBy(
+        "rep").agg(F.max_by("lead", "common").alias("a")).select("a", F.col("rep").alias("b"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        return _heavy(_verified(_heavy(pairs.distinct(), name), nodes, docs, shingle, percent,
+                                block), "links")
+
+    def spans_of(group: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Component of every member of a group, and their range for every group."""
+        members = groups.filter("members = 1").select("rep", F.col("rep").alias("node")).unionByName(
+            member_of.select("rep", "node"))
+        named = stored(members.join(group, "node", "left").select(
+            "rep", "node", F.coalesce("component", "node").alias("component")), "named")
+        return named, stored(named.groupBy("rep").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")), "spans")
+
+    links = verified(leads.unionByName(stars).unionByName(inside), "proposed")
+    _, spans = spans_of(components(links))
+
+    # A group of one component is not joined within it; one of several has a mark of its own.
+    marks = spans.select("rep", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        -1 - F.col("rep")).alias("mark")).filter("mark <> rep")
+    few = shared.filter(F.col("n") <= crowd).join(marks.hint("merge"), "rep", "left").select(
+        "token", F.struct("rep", "size", "pos", F.coalesce("mark", "rep").alias("mark")).alias("s"))
+    least, most = F.least("a.size", "b.size"), F.greatest("a.size", "b.size")
+    met = few.select("token", F.col("s").alias("a")).join(
+        few.select("token", F.col("s").alias("b")).hint("merge"), "token").filter(
+        (F.col("a.rep") < F.col("b.rep")) & (F.col("a.mark") != F.col("b.mark"))
+        & (100 * least >= percent * most))
+    counted = met.groupBy(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"),
+                          F.col("a.size").alias("p"), F.col("b.size").alias("q")).agg(
+        F.count("*").alias("shared"), F.max("a.pos").alias("last_a"),
+        F.max("b.pos").alias("last_b"), F.bool_or(_may_meet("a", "b", percent)).alias("may"))
+    in_crowds = stored(crowds.groupBy("rep").agg(F.count("*").alias("n")), "in_crowds")
+    close = counted.filter("may").join(
+        in_crowds.select(F.col("rep").alias("a"), F.col("n").alias("crowded_a")), "a", "left").join(
+        in_crowds.select(F.col("rep").alias("b"), F.col("n").alias("crowded_b")), "b", "left"
+    ).filter((100 + percent) * _overlap_bound(percent) >= percent * (F.col("p") + F.col("q")))
+    pairs = _heavy(close.select("a", "b"), "group_pairs")
+    wide_groups = several.select("rep")
+    wide = pairs.join(wide_groups.withColumnRenamed("rep", "a"), "a", "left_semi").unionByName(
+        pairs.join(wide_groups.withColumnRenamed("rep", "b"), "b", "left_semi")).distinct()
+    links = stored(links.unionByName(verified(pairs, "group_pairs")), "links")
     group = stored(components(links), "components")
 
-    # What the first step may have left open: judged by groups, expanded to members.
-    members = groups.filter("members = 1").select("rep", F.col("rep").alias("node")).unionByName(
-        member_of.select("rep", "node"))
-    named = stored(members.join(group, "node", "left").select(
-        "rep", "node", F.coalesce("component", "node").alias("component")), "named")
-    spans = stored(named.groupBy("rep").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count("*").alias("n")), "spans")
+    # What the first steps may have left open: judged by groups, expanded to members.
+    named, spans = spans_of(group)
     in_groups = spans.filter("low < high").select(
         F.concat(F.lit("g"), "rep").alias("unit"), "rep")
     ends = wide.select(F.concat_ws("-", "a", "b").alias("unit"),
@@ -468,23 +564,27 @@ def _joined(nodes: DataFrame, prefixes: DataFrame, docs: DataFrame, shingle: int
     rest = stored(open_reps.join(named, "rep").select("unit", "node", "component"), "open")
     if rest.isEmpty():
         return group
-    more = _dealt(rest, sets_of(rest.select("node")), percent, block)
+    more = _heavy(_dealt(rest, nodes, docs, shingle, percent, block), "more")
     return components(stored(links.unionByName(more).distinct(), "all_links"))
 
 
 def _linked(docs: DataFrame, shingle: int, percent: int, crowd: int, block: int, hot: int
             ) -> tuple[DataFrame, DataFrame]:
     """The marks of every row, and ``h1, h2, least_id, component`` of every set with words."""
-    rows = stored(_marks(docs, shingle, percent, *_frequent(docs, shingle, hot)), "marks")
-    full_rows = rows.filter("size > 0")
-    distinct = full_rows.groupBy("h1", "h2", "g1", "g2", "size").agg(
+    spark = docs.sparkSession
+    with_prefix = scratch_path(spark, "marks")
+    marks = stored(_marks(docs, shingle, percent, *_frequent(docs, shingle, hot)), "marks",
+                   with_prefix)
+    rows = stored(marks.drop("prefix"), "rows")
+    distinct = rows.filter("size > 0").groupBy("h1", "h2", "g1", "g2", "size").agg(
         F.min(F.struct(*_KEY)).alias("t"), F.min("doc_id").alias("least_id"))
     # Once written, the numbers of the nodes are fixed.
     nodes = stored(distinct.select(
         F.monotonically_increasing_id().alias("node"), "h1", "h2", "g1", "g2", "size", "t.*",
         "least_id"), "nodes")
-    prefixes = full_rows.groupBy("g1", "g2", "size").agg(F.first("prefix").alias("prefix"))
-    linked = _joined(nodes, prefixes, docs, shingle, percent, crowd, block)
+    prefixes = marks.filter("size > 0").groupBy("g1", "g2", "size").agg(
+        F.first("prefix").alias("prefix"))
+    linked = _joined(nodes, prefixes, docs, shingle, percent, crowd, block, with_prefix)
     return rows, nodes.select("node", "h1", "h2", "least_id").join(linked, "node", "left").select(
         "h1", "h2", "least_id", F.coalesce("component", "node").alias("component"))
 

@@ -31,3 +31,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark)}/viewtide-{uuid.uuid4().hex}/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table under the shared folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
