@@ -25,9 +25,9 @@ allow. Pairs of groups are expanded to members and verified on whole sets:
    blocks that are not connected yet meet once, and their common shingles are counted by
    an inverted index. A group of a task never holds more than two blocks.
 
-Pairs that hang together are verified in one place, to which the text of every node goes
-once, so what is shuffled grows with the nodes and not with the pairs; only a component of
-pairs that is larger than a block is dealt into blocks, and pairs meet where theirs do.
+The pairs of a cluster are verified in one place, to which the text of every node goes
+once, so what is shuffled grows with the nodes and not with the pairs; only a cluster that
+is larger than a block is dealt into blocks, and pairs meet where theirs do.
 Large tables are deleted as soon as what follows from them is written.
 
 No member, group or candidate is left out, whatever the skew.
@@ -299,9 +299,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
               block: int) -> DataFrame:
     """Links ``a, b`` that connect all that the pairs of the similarity connect.
 
-    Pairs that hang together are one component of candidates. Small ones share a block; the
-    nodes of a large one are dealt into blocks of its own, and a pair goes to the blocks of
-    its nodes.
+    The pairs of a cluster mostly have one least node: they are a unit. Small units share a
+    block; the nodes of a large one are dealt into blocks of its own, and a pair goes to the
+    blocks of its nodes.
     """
     def check(asked: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         sets = {node: shingle_set(text, shingle) for node, text in zip(
@@ -316,24 +316,26 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
                     forest.links.append((a, b))
         return pd.DataFrame(forest.links, columns=["a", "b"], dtype="i8")
 
-    found = stored(components(pairs).join(nodes.select("node", "size"), "node"), "candidates")
-    sums = [F.count("*").alias("n"), F.sum("size").alias("shingles")]
-    parts = _parts(F.col("n"), F.col("shingles"), block)
-    totals = stored(found.groupBy("component").agg(*sums).withColumn("parts", parts), "totals")
+    least = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("unit"))
+    named = stored(pairs.join(least, "a", "left").select(
+        F.coalesce("unit", "a").alias("unit"), "a", "b"), "named_pairs")
+    totals = stored(named.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct().join(
+        nodes.select("node", "size"), "node").groupBy("unit").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles")).withColumn(
+        "parts", _parts(F.col("n"), F.col("shingles"), block)), "totals")
     pool = totals.filter("parts = 1").agg(
         F.sum("n").alias("n"), F.sum("shingles").alias("shingles")).select(
         _parts(F.coalesce("n", F.lit(0)), F.coalesce("shingles", F.lit(0)), block)).first()[0]
-    # At most one large component for every block of nodes.
-    large = F.broadcast(totals.filter("parts > 1").select("component", "parts"))
-    places = stored(found.join(large, "component", "left").select(
-        "node", F.when(F.col("parts") > 1, F.col("component")).otherwise(-1).alias("own"),
-        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), "parts")).otherwise(
-            F.pmod(F.xxhash64("component"), F.lit(pool))).cast("int").alias("part")), "places")
-    dealt = stored(
-        pairs.join(places.select(F.col("node").alias("a"), "own", F.col("part").alias("p")), "a")
-        .join(places.select(F.col("node").alias("b"), F.col("part").alias("q")), "b")
-        .select("own", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "a", "b"),
-        "dealt")
+    # Large units are few: each has more nodes or shingles than a block.
+    large = F.broadcast(totals.filter("parts > 1").select("unit", "parts"))
+
+    def part(node: str) -> Column:
+        return F.when(F.col("parts") > 1, F.pmod(F.xxhash64(node), "parts")).otherwise(
+            F.pmod(F.xxhash64("unit"), F.lit(pool))).cast("int")
+    dealt = stored(named.join(large, "unit", "left").select(
+        F.when(F.col("parts") > 1, F.col("unit")).otherwise(-1).alias("own"),
+        F.least(part("a"), part("b")).alias("i"), F.greatest(part("a"), part("b")).alias("j"),
+        "a", "b"), "dealt")
     key = ["own", "i", "j"]
     asked = dealt.select(*key, F.explode(F.array("a", "b")).alias("node")).distinct()
     return dealt.groupBy(*key).cogroup(_shipped(docs, nodes, asked).groupBy(*key)).applyInPandas(
