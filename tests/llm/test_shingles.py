@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from viewtide.llm import shingles
+from viewtide.llm import prefix_join, shingles
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -93,3 +93,14 @@ def test_pair_that_no_band_of_minhashes_proposes(documents):
 def test_only_whole_hundredths_are_a_similarity(documents):
     with pytest.raises(ValueError, match="hundredths"):
         shingles.drop_near_duplicates(documents((1, "a")), 5, similarity=0.805)
+
+
+def test_kept_rows_are_the_least_of_every_component(documents):
+    """What stays is what the components of all rows ask for, with ids that repeat or are missing."""
+    rows = groups(12) + [(3, "one two"), (None, "w0 w1 w2 w3 w4 w5"), (None, "w0 w1 w2 w3 w4 w5")]
+    docs = documents(*rows)
+    linked = prefix_join.link_documents(docs).collect()
+    worded = {r["component_id"] for r in linked if r["n_shingles"]}
+    wordless = min(r["doc_id"] for r in linked if not r["n_shingles"])
+    kept = [r["doc_id"] for r in shingles.drop_near_duplicates(docs, 5).collect()]
+    assert sorted(kept, key=str) == sorted([*worded, wordless], key=str)
